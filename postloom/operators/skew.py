@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so at most
 # HOT_SHARE - 1 keys can be hot however large the data is.
@@ -24,13 +24,15 @@ def spread_join(
     spread: list[str],
     how: str = "left",
     salts: int = SALTS,
+    residual: Column | None = None,
 ) -> DataFrame:
     """Equi-join of a big side with a lookup side, hot keys spread over `salts` tasks.
 
     `spread` names columns that tell apart the rows of one key; the salt is a
     hash of them, so a re-run task gives every row the same salt. Only lookup
     rows of hot keys are repeated, once per salt. `how` is left, inner,
-    left_semi or left_anti. The list of hot keys is broadcast: it has fewer than
+    left_semi or left_anti; `residual` is a further join condition over columns whose
+    names differ between the sides. The list of hot keys is broadcast: it has fewer than
     HOT_SHARE rows of key columns.
     """
     hot = F.broadcast(hot_keys(rows, keys).withColumn("_hot", F.lit(True)))
@@ -40,4 +42,11 @@ def spread_join(
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.drop("_hot").join(right, [*keys, "_salt"], how).drop("_salt")
+    if residual is None:
+        return left.drop("_hot").join(right, [*keys, "_salt"], how).drop("_salt")
+    matched = residual
+    for key in (*keys, "_salt"):
+        right = right.withColumnRenamed(key, f"_r{key}")
+        matched = matched & (F.col(key) == F.col(f"_r{key}"))
+    joined = left.drop("_hot").join(right, matched, how)
+    return joined.drop("_salt", *[f"_r{key}" for key in (*keys, "_salt")])

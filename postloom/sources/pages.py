@@ -13,6 +13,7 @@ from ..functions.coerce import (
     json_string,
 )
 from ..functions.texts import stream_payload
+from ..operators.order import carry
 
 # Places of the record groups of one page in its `seq`.
 INCLUDES_AT = 1 << 32
@@ -100,15 +101,23 @@ def search_envelope(
     return _assemble(new_posts, included_objects(pages) if write_includes else None, markers)
 
 
-def stream_envelope(events: DataFrame, new_posts: DataFrame, write_includes: bool = True) -> DataFrame:
+def stream_envelope(
+    events: DataFrame,
+    new_posts: DataFrame,
+    write_includes: bool = True,
+    posts_before: Column | None = None,
+    across_logs: bool = False,
+) -> DataFrame:
     """Records of stream events, given the posts that were new.
 
     `events` has `log`, `block` (event number), `body` and `received_at` (text).
     Events without a new post leave no record. `page` in the marker is the running
-    total of posts of the log, counted over blocks of events, not row by row.
+    total of posts, per log or over all logs in order, on top of `posts_before`.
     """
     counts = new_posts.groupBy("log", "block").agg(F.count(F.lit(1)).alias("result_count"))
-    totals = running_total(counts, "result_count", "page")
+    totals = running_total(counts, "result_count", "page", across_logs)
+    if posts_before is not None:
+        totals = totals.withColumn("page", F.col("page") + posts_before)
     marked = events.join(totals, ["log", "block"])
     body = F.col("body")
     meta = json_object(
@@ -132,18 +141,30 @@ def stream_envelope(events: DataFrame, new_posts: DataFrame, write_includes: boo
     return _assemble(new_posts, included_objects(events) if write_includes else None, markers)
 
 
-def running_total(counts: DataFrame, value: str, name: str, width: int = 4096) -> DataFrame:
-    """Inclusive running sum of `value` per log over `block`, in runs of `width` block numbers."""
+def running_total(
+    counts: DataFrame, value: str, name: str, across_logs: bool = False, width: int = 4096
+) -> DataFrame:
+    """Inclusive running sum of `value` over `block`, per log or over all logs in order.
+
+    Block numbers are cut into runs of `width`; sums of runs are scanned per log and sums
+    of logs over the logs, so no window holds more than one run, one log's runs, or one
+    row per log.
+    """
     run = counts.withColumn("_run", F.floor(F.col("block") / width))
     sums = run.groupBy("log", "_run").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy("log").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    before = carry(sums, ["log"], ["_run"], sums=("_sum",)).drop("_sum")
+    if across_logs:
+        logs = carry(sums.groupBy("log").agg(F.sum("_sum").alias("_all")), [], ["log"], sums=("_all",))
+        before = before.join(logs.drop("_all"), "log").withColumn(
+            "_sum_before", F.col("_sum_before") + F.col("_all_before")
+        )
+        before = before.drop("_all_before")
     inside = Window.partitionBy("log", "_run").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     return (
         run.withColumn("_in", F.sum(value).over(inside))
         .join(before, ["log", "_run"])
-        .withColumn(name, F.col("_in") + F.col("_before"))
-        .drop("_run", "_in", "_before")
+        .withColumn(name, F.col("_in") + F.col("_sum_before"))
+        .drop("_run", "_in", "_sum_before")
     )
 
 
