@@ -33,45 +33,52 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
-def variant_int(value: Column) -> Column:
+# Typed coercions are SQL texts: they are used for dozens of columns at once, and the
+# same rule can then stand in a select list.
+
+
+def int_sql(v: str) -> str:
     """integer of a JSON value; texts must hold an integer, numbers must be whole."""
-    kind = F.schema_of_variant(value)
-    number = F.try_variant_get(value, "$", "double")
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return (
-        F.when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string").try_cast("bigint"))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), whole)
-    )
+    number = f"try_variant_get({v}, '$', 'double')"
+    return f"""CASE
+      WHEN schema_of_variant({v}) = 'BIGINT' THEN try_variant_get({v}, '$', 'bigint')
+      WHEN schema_of_variant({v}) = 'STRING' THEN try_cast(try_variant_get({v}, '$', 'string') AS BIGINT)
+      WHEN schema_of_variant({v}) = 'BOOLEAN' THEN CAST(try_variant_get({v}, '$', 'boolean') AS BIGINT)
+      WHEN schema_of_variant({v}) RLIKE '^(DECIMAL|DOUBLE|FLOAT)' AND {number} = floor({number})
+        THEN try_cast({number} AS BIGINT) END"""
 
 
-def variant_bool(value: Column) -> Column:
+def bool_sql(v: str) -> str:
     """boolean of a JSON value; whole-number tokens count as `!= 0`."""
-    kind = F.schema_of_variant(value)
-    text = F.lower(strip(F.try_variant_get(value, "$", "string")))
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint") != 0)
-        .when(
-            kind == "STRING",
-            F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False),
-        )
-    )
+    text = f"lower(regexp_replace(try_variant_get({v}, '$', 'string'), '(?U)^\\\\s+|\\\\s+$', ''))"
+    texts = [", ".join(f"'{t}'" for t in group) for group in (TRUE_TEXTS, FALSE_TEXTS)]
+    return f"""CASE
+      WHEN schema_of_variant({v}) = 'BOOLEAN' THEN try_variant_get({v}, '$', 'boolean')
+      WHEN schema_of_variant({v}) = 'BIGINT' THEN try_variant_get({v}, '$', 'bigint') <> 0
+      WHEN schema_of_variant({v}) = 'STRING' AND {text} IN ({texts[0]}) THEN true
+      WHEN schema_of_variant({v}) = 'STRING' AND {text} IN ({texts[1]}) THEN false END"""
+
+
+def int_of(path: str) -> Column:
+    return F.expr(int_sql(path))
+
+
+def bool_of(path: str) -> Column:
+    return F.expr(bool_sql(path))
 
 
-def variant_at(json_text: Column, key: str) -> Column:
-    """The value under a top-level key of a JSON text, keeping its JSON type."""
-    return F.from_json(json_text, f"`{key}` VARIANT").getField(key)
+def variant_at(json_path: str, key: str) -> str:
+    """The value under a top-level key of a JSON text column, keeping its JSON type."""
+    return f"from_json({json_path}, '{key} VARIANT').{key}"
 
 
-def json_int(json_text: Column, key: str) -> Column:
+def json_int(json_path: str, key: str) -> Column:
     """integer under a key; null when the object is null."""
-    return variant_int(variant_at(json_text, key))
+    return int_of(variant_at(json_path, key))
 
 
-def json_bool(json_text: Column, key: str) -> Column:
-    return variant_bool(variant_at(json_text, key))
+def json_bool(json_path: str, key: str) -> Column:
+    return bool_of(variant_at(json_path, key))
 
 
 def json_field(json_text: Column, key: str) -> Column:
@@ -100,32 +107,44 @@ def json_text(json_text_col: Column) -> Column:
     return F.get_json_object(json_text_col, "$")
 
 
-def json_structs(json_text: Column, fields: str) -> Column:
-    """Array of structs from a JSON array.
+def structs_sql(json_path: str, fields: dict[str, str] | list[str]) -> str:
+    """Array of structs of text fields from a JSON array.
 
-    Arrays that mix objects with other values read as null in one go, so only
-    those are read element by element.
+    Arrays that mix objects with other values read as null in one go, so only those are
+    read element by element.
     """
-    whole = F.from_json(json_text, f"array<struct<{fields}>>")
-    ddl = ", ".join(f.strip().replace(":", " ", 1) for f in fields.split(","))
-    each = F.transform(json_items(json_text), lambda item: F.from_json(item, ddl))
-    return F.when(F.ltrim(json_text).startswith("["), F.coalesce(whole, each))
+    ddl = ", ".join(f"{f} STRING" for f in fields)
+    nested = ", ".join(f"{f}: STRING" for f in fields)
+    return f"""CASE WHEN startswith(ltrim({json_path}), '[') THEN coalesce(
+      from_json({json_path}, 'array<struct<{nested}>>'),
+      transform(from_json({json_path}, 'array<string>'), item -> from_json(item, '{ddl}'))) END"""
 
 
-def non_blank(items: Column, field: str | None = None) -> Column:
+def items_sql(json_path: str) -> str:
+    """F7 as SQL text, null for anything but an array."""
+    return f"CASE WHEN startswith(ltrim({json_path}), '[') THEN from_json({json_path}, 'array<string>') END"
+
+
+def non_blank_sql(items: str, field: str | None = None) -> str:
     """P10: one field of every element, blanks dropped."""
-    values = items if field is None else F.transform(items, lambda x: x.getField(field))
-    return F.filter(values, lambda v: v != "")
+    values = items if field is None else f"transform({items}, x -> x.{field})"
+    return f"filter({values}, v -> v <> '')"
 
 
-def join_list(items: Column, sep: str = ";") -> Column:
-    """A4: joined text, null for an empty list."""
-    return F.when(F.size(items) > 0, F.array_join(items, sep))
+def join_sql(items: str, sep: str = ";", blanks: bool = False) -> str:
+    """A4: joined text, null for an empty list; with `blanks`, nulls are read as blanks."""
+    quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
+    rest = ", ''" if blanks else ""
+    return f"CASE WHEN size({items}) > 0 THEN array_join({items}, '{quoted}'{rest}) END"
 
 
-def join_all(items: Column, sep: str = ";") -> Column:
-    """Joined text that keeps blanks and reads nulls as blanks."""
-    return F.when(F.size(items) > 0, F.array_join(items, sep, ""))
+def non_blank(items: Column) -> Column:
+    return F.filter(items, lambda v: v != "")
+
+
+def join_list(items: Column, sep: str = ";") -> Column:
+    """A4 for a column."""
+    return F.when(F.size(items) > 0, F.array_join(items, sep))
 
 
 def json_string(text: Column) -> Column:

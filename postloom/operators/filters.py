@@ -140,11 +140,14 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
         F.regexp_replace(quoted, r"\s+", r"\\s+"),
         F.lit(rf"([^{WORD}]|$)"),
     )
+    # A plain search in the text with single blanks settles most candidates; the pattern
+    # then checks the word borders.
+    texts = posts.select(key, "text", F.regexp_replace(F.lower("text"), r"\s+", " ").alias("_flat"))
     phrases = (
         near.where("not is_word")
-        .withColumn("_pattern", pattern)
-        .join(posts.select(key, "text"), key)
-        .where(F.rlike("text", F.col("_pattern")))
+        .withColumn("_needle", F.regexp_replace("term", r"\s+", " "))
+        .join(texts, key)
+        .where(F.when(F.contains("_flat", "_needle"), F.rlike("text", pattern)).otherwise(False))
         .select(key, "rule_id", "tag")
     )
     return exact.unionByName(phrases).distinct()

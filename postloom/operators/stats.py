@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.coerce import json_field, json_has_key, json_int, json_items, variant_int
+from ..functions.coerce import int_sql, json_field, json_has_key, json_int, json_items
 from ..sources.pages import delivered_posts
 
 
@@ -26,8 +26,10 @@ def outcome_counters(lines: DataFrame, keys: tuple[str, ...] = ("log",)) -> Data
 
 def page_stats(pages: DataFrame, new_posts: DataFrame) -> DataFrame:
     """A3: delivered and new posts per page, and the count the page itself claims."""
-    told = json_int(json_field(F.col("body"), "meta"), "result_count")
-    heads = pages.select("log", "block", told.alias("result_count"))
+    told = json_int("meta", "result_count")
+    heads = pages.select("log", "block", json_field(F.col("body"), "meta").alias("meta")).select(
+        "log", "block", told.alias("result_count")
+    )
     delivered = delivered_posts(pages).groupBy("log", "block").agg(F.count(F.lit(1)).alias("delivered"))
     fresh = new_posts.groupBy("log", "block").agg(F.count(F.lit(1)).alias("new_posts"))
     return (
@@ -37,20 +39,17 @@ def page_stats(pages: DataFrame, new_posts: DataFrame) -> DataFrame:
     )
 
 
-def usage_summary(body: Column) -> Column:
-    """A5: struct of cap, usage, reset day and what is left; null when either is unknown."""
-    data = F.from_json(
-        json_field(body, "data"), "project_cap VARIANT, project_usage VARIANT, cap_reset_day VARIANT"
-    )
-    cap = variant_int(data["project_cap"])
-    used = variant_int(data["project_usage"])
-    left = F.when(cap.isNotNull() & used.isNotNull(), F.greatest(cap - used, F.lit(0)))
-    return F.struct(
-        cap.alias("project_cap"),
-        used.alias("project_usage"),
-        variant_int(data["cap_reset_day"]).alias("cap_reset_day"),
-        left.alias("remaining"),
+def usage_summary(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """A5: adds cap, usage, reset day and what is left; null when either is unknown."""
+    names = ("project_cap", "project_usage", "cap_reset_day")
+    ddl = ", ".join(f"{n} VARIANT" for n in names)
+    read = bodies.withColumn("_d", F.from_json(json_field(F.col(body), "data"), ddl)).selectExpr(
+        *bodies.columns, *[f"{int_sql(f'_d.{n}')} AS {n}" for n in names]
     )
+    # `greatest` skips nulls, so an unknown side is tested first.
+    known = F.col("project_cap").isNotNull() & F.col("project_usage").isNotNull()
+    left = F.greatest(F.col("project_cap") - F.col("project_usage"), F.lit(0))
+    return read.withColumn("remaining", F.when(known, left))
 
 
 def cap_reached(remaining: Column, drain_to_cap: Column) -> Column:
@@ -92,15 +91,17 @@ def rules_response(log: DataFrame) -> DataFrame:
         {
             "_errors": errors,
             "_summary": summary,
-            **{
-                f"_{n}": F.coalesce(json_int(summary, n), F.lit(0))
-                for n in ("invalid", "not_created", "not_deleted")
-            },
             "_rules": F.transform(
                 json_items(json_field(body, "data")), lambda r: F.from_json(r, "id STRING, value STRING, tag STRING")
             ),
         }
     )
+    read = read.withColumns(
+        {
+            f"_{n}": F.coalesce(json_int("_summary", n), F.lit(0))
+            for n in ("invalid", "not_created", "not_deleted")
+        }
+    )
     wanted = F.get(
         F.filter("_rules", lambda r: (r["tag"] == F.col("tag")) & (r["value"] == F.col("value"))), 0
     )

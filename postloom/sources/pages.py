@@ -64,7 +64,7 @@ def included_objects(pages: DataFrame) -> DataFrame:
 
 def _if_present(body: Column, key: str) -> Column:
     """JSON text under a key, `null` when the key is there with a null."""
-    return F.when(json_has_key(body, key), F.coalesce(F.getjson_object(body, f"$.{key}"), F.lit("null")))
+    return F.when(json_has_key(body, key), F.coalesce(F.get_json_object(body, f"$.{key}"), F.lit("null")))
 
 
 def _assemble(posts: DataFrame, includes: DataFrame | None, markers: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def search_envelope(
 
     The page record is written for every page.
     """
-    meta = F.coalesce(F.getjson_object("body", "$.meta"), F.lit("{}"))
+    meta = F.coalesce(F.get_json_object("body", "$.meta"), F.lit("{}"))
     markers = pages.select(
         "log",
         "block",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.coerce import text_or, variant_bool, variant_int
+from ..functions.coerce import bool_of, int_of, text_or
 
 # Fields of a search state.
 COLLECTOR_TEXTS = ("timestamp", "task_name", "query")
@@ -53,8 +53,8 @@ def _ddl(texts: tuple[str, ...], typed: tuple[str, ...]) -> str:
     return ", ".join([f"{n} STRING" for n in texts] + [f"{n} VARIANT" for n in typed])
 
 
-def _count(value: Column) -> Column:
-    return F.coalesce(variant_int(value), F.lit(0))
+def _count(path: str) -> Column:
+    return F.coalesce(int_of(path), F.lit(0))
 
 
 def readable(docs: DataFrame) -> DataFrame:
@@ -72,10 +72,10 @@ def collector_states(docs: DataFrame) -> DataFrame:
     return s.select(
         *[text_or(F.col(f"s.{n}")).alias(n) for n in COLLECTOR_TEXTS],
         *[F.col(f"s.{n}").alias(n) for n in COLLECTOR_OPTIONAL],
-        *[_count(F.col(f"s.{n}")).alias(n) for n in COLLECTOR_COUNTS],
-        F.coalesce(variant_bool(F.col("s.completed")), F.lit(False)).alias("completed"),
+        *[_count(f"s.{n}").alias(n) for n in COLLECTOR_COUNTS],
+        F.coalesce(bool_of("s.completed"), F.lit(False)).alias("completed"),
         text_or(F.col("s.stop_reason")).alias("stop_reason"),
-        _count(F.col("s.converted_jsonl_offset")).alias("converted_jsonl_offset"),
+        _count("s.converted_jsonl_offset").alias("converted_jsonl_offset"),
         text_or(F.col("s.converted_at")).alias("converted_at"),
     )
 
@@ -100,14 +100,14 @@ def stream_states(docs: DataFrame) -> DataFrame:
             for n in DIAGNOSTIC_TEXTS
         ],
         *[
-            F.when(nested, _count(F.col(f"d.{n}"))).otherwise(_count(F.col(f"s.last_{n}"))).alias(n)
+            F.when(nested, _count(f"d.{n}")).otherwise(_count(f"s.last_{n}")).alias(n)
             for n in DIAGNOSTIC_COUNTS
         ],
     )
     return parsed.select(
         *[text_or(F.col(f"s.{n}")).alias(n) for n in STREAM_TEXTS],
         F.col("s.rule_id").alias("rule_id"),
-        *[_count(F.col(f"s.{n}")).alias(n) for n in STREAM_COUNTS],
-        F.coalesce(variant_bool(F.col("s.completed")), F.lit(False)).alias("completed"),
+        *[_count(f"s.{n}").alias(n) for n in STREAM_COUNTS],
+        F.coalesce(bool_of("s.completed"), F.lit(False)).alias("completed"),
         diagnostics.alias("diagnostics"),
     )
