@@ -65,7 +65,7 @@ def connection_gaps(
     extra = [c for c in DIAGNOSTICS if c in log.columns]
     order = ["ts", *tie]
     rows = log.where(F.col("event").isin("failed", "connected", "stopped")).select(
-        *keys, *order, "event", "reason", *extra
+        *dict.fromkeys([*keys, *order, "event", "reason", *extra])
     )
     cut = range_splits(rows, [*keys, *order], "connection_log")
     closes = (F.col("event") != "failed").cast("int")
@@ -79,8 +79,8 @@ def connection_gaps(
     )
     failed = F.col("event") == "failed"
     gaps = numbered.groupBy(*keys, "island").agg(
-        F.min(F.when(failed, F.struct(*order, "reason", *extra))).alias("o"),
-        F.min(F.when(~failed, F.struct(*order, "event", "reason"))).alias("c"),
+        F.min(F.when(failed, F.struct(*dict.fromkeys([*order, "reason", *extra])))).alias("o"),
+        F.min(F.when(~failed, F.struct(*dict.fromkeys([*order, "event", "reason"])))).alias("c"),
     )
     found = gaps.where("o is not null" if include_open else "o is not null and c is not null")
     own = F.nullif(F.col("o.reason"), F.lit(""))

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import catalog_filter, catalog_flat, catalog_log  # noqa: F401
+from . import catalog_filter, catalog_flat, catalog_gap, catalog_log, catalog_plan  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
