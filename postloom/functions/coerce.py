@@ -59,6 +59,26 @@ def bool_sql(v: str) -> str:
       WHEN schema_of_variant({v}) = 'STRING' AND {text} IN ({texts[1]}) THEN false END"""
 
 
+def text_int_sql(text: str, json: str, path: str) -> str:
+    """F2 from the text of a value; its JSON type is looked up only for texts that are no
+    integer (`3.0`, `true`), at `path` (such as `a.b`) of the JSON text."""
+    return f"coalesce(try_cast({text} AS BIGINT), CASE WHEN {text} IS NOT NULL THEN {int_sql(typed_at(json, path))} END)"
+
+
+def text_bool_sql(text: str, json: str, path: str) -> str:
+    """F3 from the text of a value; the common texts mean the same whatever their JSON type."""
+    return f"""CASE WHEN {text} IS NULL THEN NULL WHEN {text} = 'true' THEN true WHEN {text} = 'false' THEN false
+      ELSE {bool_sql(typed_at(json, path))} END"""
+
+
+def typed_at(json: str, path: str) -> str:
+    *outer, leaf = path.split(".")
+    ddl = f"{leaf} VARIANT"
+    if outer:
+        ddl = f"{outer[0]} STRUCT<{leaf}: VARIANT>"
+    return f"from_json({json}, '{ddl}').{path}"
+
+
 def int_of(path: str) -> Column:
     return F.expr(int_sql(path))
 
@@ -107,35 +127,37 @@ def json_text(json_text_col: Column) -> Column:
     return F.get_json_object(json_text_col, "$")
 
 
-def structs_sql(json_path: str, fields: dict[str, str] | list[str]) -> str:
-    """Array of structs of text fields from a JSON array.
+def list_sql(fast: str, raw: str, item_type: str, key: str | None = None) -> str:
+    """A list read together with its payload.
 
-    Arrays that mix objects with other values read as null in one go, so only those are
-    read element by element.
+    Arrays that mix objects with other values come out of the payload as null in one go;
+    only those are read again, element by element, from `raw` (or its `key`).
     """
-    ddl = ", ".join(f"{f} STRING" for f in fields)
-    nested = ", ".join(f"{f}: STRING" for f in fields)
-    return f"""CASE WHEN startswith(ltrim({json_path}), '[') THEN coalesce(
-      from_json({json_path}, 'array<struct<{nested}>>'),
-      transform(from_json({json_path}, 'array<string>'), item -> from_json(item, '{ddl}'))) END"""
+    if key is None:
+        there, array = f"startswith({raw}, '[')", raw
+    else:
+        there, array = f"contains({raw}, '\"{key}\":[')", f"from_json({raw}, '{key} STRING').{key}"
+    each = f"transform(from_json({array}, 'array<string>'), item -> from_json(item, '{item_type}'))"
+    return f"CASE WHEN {fast} IS NOT NULL THEN {fast} WHEN {there} THEN {each} END"
 
 
-def items_sql(json_path: str) -> str:
-    """F7 as SQL text, null for anything but an array."""
-    return f"CASE WHEN startswith(ltrim({json_path}), '[') THEN from_json({json_path}, 'array<string>') END"
+def listing_sql(items: str, sep: str = ";") -> str:
+    """A4/P10: joined non-blank texts, null when there are none.
+
+    Nulls are skipped by the join and blanks are removed, so a blank result means an
+    empty list.
+    """
+    return f"nullif(array_join(array_remove({items}, ''), {quote_sql(sep)}), '')"
 
 
-def non_blank_sql(items: str, field: str | None = None) -> str:
-    """P10: one field of every element, blanks dropped."""
-    values = items if field is None else f"transform({items}, x -> x.{field})"
-    return f"filter({values}, v -> v <> '')"
+def join_all_sql(items: str, sep: str = ";") -> str:
+    """Joined texts that keep blanks and read nulls as blanks."""
+    return f"CASE WHEN size({items}) > 0 THEN array_join({items}, {quote_sql(sep)}, '') END"
 
 
-def join_sql(items: str, sep: str = ";", blanks: bool = False) -> str:
-    """A4: joined text, null for an empty list; with `blanks`, nulls are read as blanks."""
-    quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
-    rest = ", ''" if blanks else ""
-    return f"CASE WHEN size({items}) > 0 THEN array_join({items}, '{quoted}'{rest}) END"
+def quote_sql(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def non_blank(items: Column) -> Column:

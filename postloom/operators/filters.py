@@ -49,7 +49,7 @@ def keyword_pattern(terms: list[str]) -> str:
     parts = [r"\s+".join(re.escape(w) for w in term_words(t)) for t in terms if term_words(t)]
     if not parts:
         raise ValueError("no valid keyword")
-    return rf"(?i)(^|[^{WORD}])({'|'.join(parts)})([^{WORD}]|$)"
+    return rf"(?iu)(^|[^{WORD}])({'|'.join(parts)})([^{WORD}]|$)"
 
 
 def keyword_match(text: Column, terms: list[str]) -> Column:
@@ -136,7 +136,7 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
     # Regex metacharacters of the term are quoted; blanks stand for any run of blanks.
     quoted = F.regexp_replace("term", r"([^\p{L}\p{N}_\s])", r"\\$1")
     pattern = F.concat(
-        F.lit(rf"(?i)(^|[^{WORD}])"),
+        F.lit(rf"(?iu)(^|[^{WORD}])"),
         F.regexp_replace(quoted, r"\s+", r"\\s+"),
         F.lit(rf"([^{WORD}]|$)"),
     )

@@ -44,14 +44,16 @@ def carry(
     """
     ordered = Window.partitionBy(*keys).orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    later = ordered.rowsBetween(1, Window.unboundedFollowing)
+    # Frames that reach to the end are read again for every row; running backwards is one pass.
+    backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
     added: dict[str, Column] = {}
     for c in sums:
         added[f"{c}_before"] = F.coalesce(F.sum(c).over(earlier), F.lit(0))
     for c in prev:
         added[f"{c}_prev"] = F.last(c, ignorenulls=True).over(earlier)
     for c in following:
-        added[f"{c}_next"] = F.first(c, ignorenulls=True).over(later)
+        added[f"{c}_next"] = F.last(c, ignorenulls=True).over(later)
     return summary.withColumns(added)
 
 
@@ -105,7 +107,8 @@ def segment_records(records: DataFrame, valve: int = VALVE) -> DataFrame:
     """
     local = Window.partitionBy(*SPLIT).orderBy("seq")
     running = local.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = local.rowsBetween(0, Window.unboundedFollowing)
+    backwards = Window.partitionBy(*SPLIT).orderBy(F.col("seq").desc())
+    ahead = backwards.rowsBetween(Window.unboundedPreceding, 0)
     is_post = (F.col("cls") == "t") & F.col("data").isNotNull()
 
     marked = (
@@ -162,7 +165,7 @@ def segment_records(records: DataFrame, valve: int = VALVE) -> DataFrame:
     rank = F.col("_posts") + F.col("_posts_before") - F.col("_base_here")
     return (
         marked.withColumn("_seg_seen", F.last("_seg_post", ignorenulls=True).over(running))
-        .withColumn("_seg_ahead", F.first("_seg_post", ignorenulls=True).over(ahead))
+        .withColumn("_seg_ahead", F.last("_seg_post", ignorenulls=True).over(ahead))
         .withColumn("_base_here", F.last("_base", ignorenulls=True).over(running))
         .join(carried, list(SPLIT))
         .withColumns(
