@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .texts import ascii_lower, error_detail, error_metadata
+from .texts import ERROR_COLUMNS, ascii_lower, error_detail, error_metadata, read_errors
 
 # Fixed value: least wait after a rate limit on a stream.
 STREAM_MIN_WAIT = 60
@@ -34,9 +34,9 @@ def classify_responses(log: DataFrame) -> DataFrame:
     limited = F.col("status") == 429
     server = (F.col("status") >= 500) & (F.col("status") < 600)
     # One pass over the body first, so every later column reads a plain struct.
-    read = log.withColumns(
+    read = read_errors(log).withColumns(
         {
-            "_meta": F.when(~ok, error_metadata(F.col("body"))),
+            "_meta": F.when(~ok, error_metadata()),
             **{
                 name: F.when(limited | server, header_int(F.col(name))).otherwise(0).cast("bigint")
                 for name in headers
@@ -71,7 +71,7 @@ def classify_responses(log: DataFrame) -> DataFrame:
             .otherwise("api error"),
             "error_type": F.when(ok, "").when(why == "api_error", "api_error").otherwise(F.col("_meta.type")),
             "error_detail": F.when(ok, "")
-            .when(why == "api_error", error_detail(F.col("body")))
+            .when(why == "api_error", error_detail())
             .otherwise(F.col("_meta.detail")),
         }
-    ).drop("_meta")
+    ).drop("_meta", *ERROR_COLUMNS)

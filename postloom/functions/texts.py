@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .coerce import json_field, json_has_key, json_items, strip, text_or
+from .coerce import json_items, strip, text_or
 
 # Fixed value: bytes shown of a body that is not UTF-8.
 HEX_BYTES = 48
@@ -42,46 +42,59 @@ def safe_text(body: Column, label: str = "response body") -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(marker)
 
 
-def _part(obj: Column, key: str) -> Column:
-    return text_or(json_field(obj, key))
+def read_errors(log: DataFrame, body: str = "body") -> DataFrame:
+    """Parse an error body once: adds `_text`, `_is_json`, `_body` and the `_errors` list.
+
+    `error_metadata` and `error_detail` are columns over these.
+    """
+    fields = "type STRING, title STRING, detail STRING"
+    ddl = f"{fields}, errors STRING, _bad STRING"
+    return (
+        log.withColumn("_text", strip(F.coalesce(F.col(body), F.lit(""))))
+        .withColumn("_body", F.from_json("_text", ddl, {"columnNameOfCorruptRecord": "_bad"}))
+        .withColumns(
+            {
+                "_is_json": (F.col("_text") != "")
+                & (F.col("_body._bad").isNull() | F.try_parse_json("_text").isNotNull()),
+                "_errors": F.transform(
+                    json_items(F.col("_body.errors")), lambda e: F.from_json(e, f"{fields}, status STRING")
+                ),
+            }
+        )
+    )
 
 
-def _is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+ERROR_COLUMNS = ("_text", "_is_json", "_body", "_errors")
 
 
-def error_metadata(body: Column) -> Column:
-    """struct (type, title, detail) of an error body."""
-    text = strip(F.coalesce(body, F.lit("")))
+def error_metadata() -> Column:
+    """struct (type, title, detail) of an error body, over `read_errors`."""
     names = ("type", "title", "detail")
-    all_blank = (_part(text, "type") == "") & (_part(text, "title") == "") & (_part(text, "detail") == "")
-    first = F.get(json_items(json_field(text, "errors")), 0)
-    source = F.when(all_blank & json_has_key(text, "errors"), first).otherwise(text)
-    return F.struct(
-        *[
-            F.when(text == "", "")
-            .when(_is_json(text), _part(source, name))
-            .otherwise(text if name == "detail" else F.lit(""))
-            .alias(name)
-            for name in names
-        ]
-    )
+    first = F.get("_errors", 0)
+    all_blank = F.lit(True)
+    for name in names:
+        all_blank = all_blank & (text_or(F.col(f"_body.{name}")) == "")
+    parts = []
+    for name in names:
+        own = F.when(all_blank, text_or(first[name])).otherwise(text_or(F.col(f"_body.{name}")))
+        plain = F.col("_text") if name == "detail" else F.lit("")
+        parts.append(F.when(F.col("_is_json"), own).otherwise(plain).alias(name))
+    return F.struct(*parts)
 
 
-def error_detail(body: Column) -> Column:
-    """Distinct non-blank message parts joined by ` | `; the body itself if none."""
-    text = strip(F.coalesce(body, F.lit("")))
+def error_detail() -> Column:
+    """Distinct non-blank message parts joined by ` | `, over `read_errors`.
+
+    The body itself when there are none.
+    """
 
     def piece(err: Column) -> Column:
-        bits = F.array(_part(err, "title"), _part(err, "detail"), _part(err, "status"))
-        return F.array_join(F.filter(bits, lambda b: b != ""), " / ")
+        # Nulls and blanks leave no separator behind.
+        return F.concat_ws(" / ", *[F.nullif(err[n], F.lit("")) for n in ("title", "detail", "status")])
 
-    parts = F.concat(
-        F.array(_part(text, "title"), _part(text, "detail")),
-        F.transform(json_items(json_field(text, "errors")), piece),
-    )
+    parts = F.concat(F.array("_body.title", "_body.detail"), F.transform("_errors", piece))
     parts = F.array_distinct(F.filter(F.transform(parts, strip), lambda p: p != ""))
-    return F.when(_is_json(text) & (F.size(parts) > 0), F.array_join(parts, " | ")).otherwise(text)
+    return F.when(F.col("_is_json") & (F.size(parts) > 0), F.array_join(parts, " | ")).otherwise(F.col("_text"))
 
 
 def is_invalid_page_token(body: Column) -> Column:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.coerce import strip
-from .skew import spread_join
+from .skew import lookup_join
 
 # A word character of any script.
 WORD = r"\p{L}\p{N}_"
@@ -120,7 +120,8 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
     """J10 for a table of rules `(rule_id, tag, term)`: one row per matched (post, rule).
 
     Not a nested loop: each term is found by its longest word, in an equi-join with the
-    distinct words of the posts. Frequent words are spread over tasks. Only phrases go
+    distinct words of the posts. A small rule table is broadcast after a check of its size;
+    for a big one, frequent words are spread over tasks. Only phrases go
     back to the text. Terms need at least one word.
     """
     terms = rules.select(
@@ -131,7 +132,7 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
         {"word": longest["w"], "is_word": F.col("_words")[0] == F.col("term")}
     ).drop("_words")
     words = posts.select(key, F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    near = spread_join(words, terms, ["word"], [key], "inner").select(key, "rule_id", "tag", "term", "is_word")
+    near = lookup_join(words, terms, ["word"], [key], "inner").select(key, "rule_id", "tag", "term", "is_word")
     exact = near.where("is_word").select(key, "rule_id", "tag")
     # Regex metacharacters of the term are quoted; blanks stand for any run of blanks.
     quoted = F.regexp_replace("term", r"([^\p{L}\p{N}_\s])", r"\\$1")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.clock import from_micros, micros
 from .dedup import unseen
-from .skew import spread_join
+from .skew import lookup_join, spread_join
 
 DAY_SECONDS = 86_400
 
@@ -42,7 +42,8 @@ def window_join(
     """Each post with each window it falls into.
 
     Windows are cut into buckets, so the range condition becomes an equality on the
-    bucket plus a check; busy buckets are spread. A null start reaches back to the
+    bucket plus a check. Few windows are broadcast after a check of their size; for many,
+    busy buckets are spread. A null start reaches back to the
     first post.
     """
     first = posts.agg(F.min(ts)).scalar()
@@ -50,7 +51,7 @@ def window_join(
     cut = cut_by_bucket(bounded, start, end, bucket_seconds)
     placed = posts.withColumn("bucket", bucket_of(F.col(ts), bucket_seconds))
     inside = (F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))
-    return spread_join(placed, cut, ["bucket"], spread, "inner").where(inside).drop("bucket", start, end)
+    return lookup_join(placed, cut, ["bucket"], spread, "inner").where(inside).drop("bucket", start, end)
 
 
 def merged_intervals(cut: DataFrame, start: str, end: str, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.pages import running_total
-from .skew import spread_join
+from .skew import lookup_join
 
 
 def cutoff_pages(new_posts: DataFrame, target: int) -> DataFrame:
@@ -28,5 +28,5 @@ def page_limit(rows: DataFrame, new_posts: DataFrame, target: int, spread: list[
     if target <= 0:
         return rows
     kept = cutoff_pages(new_posts, target).drop("total_posts")
-    joined = spread_join(rows, kept, ["log"], spread, "inner")
+    joined = lookup_join(rows, kept, ["log"], spread, "inner")
     return joined.where(F.col("block") <= F.col("last_block")).select(*rows.columns)

@@ -8,6 +8,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 # HOT_SHARE - 1 keys can be hot however large the data is.
 HOT_SHARE = 1000
 SALTS = 64
+# Most rows and bytes of a lookup side that is sent to every task.
+SMALL_ROWS = 100_000
+SMALL_BYTES = 32 * 1024 * 1024
+
+
+def is_small(lookup: DataFrame) -> bool:
+    """Whether a lookup side stays under both bounds; reads at most SMALL_ROWS + 1 rows of it."""
+    size = (
+        lookup.limit(SMALL_ROWS + 1)
+        .select(F.octet_length(F.to_json(F.struct("*"))).alias("n"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes"))
+        .head()
+    )
+    return size.rows <= SMALL_ROWS and size.bytes <= SMALL_BYTES
+
+
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], spread: list[str], how: str = "left"
+) -> DataFrame:
+    """Join with a side that is small as a rule, such as rules or tasks.
+
+    The size is checked first: a small side is broadcast, any other goes through
+    `spread_join`. Both give the same rows.
+    """
+    if is_small(lookup):
+        return rows.join(F.broadcast(lookup), keys, how)
+    return spread_join(rows, lookup, keys, spread, how)
 
 
 def hot_keys(rows: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:

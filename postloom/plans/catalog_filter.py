@@ -23,6 +23,7 @@ from ..functions.texts import (
     is_archive_denied,
     is_invalid_page_token,
     is_timeout,
+    read_errors,
     safe_text,
     stream_payload,
 )
@@ -335,8 +336,8 @@ def error_texts(spark: SparkSession, sf: str) -> DataFrame:
     body = F.when(e % 4 == 0, full).when(e % 4 == 1, listed).when(
         e % 4 == 2, F.concat(F.lit(" plain "), "event_type")
     ).otherwise("  ")
-    read = table(spark, sf, "events").withColumn("body", body).withColumn("m", error_metadata(F.col("body")))
-    return read.select("event_id", "m.type", "m.title", "m.detail", error_detail(F.col("body")).alias("text"))
+    read = read_errors(table(spark, sf, "events").withColumn("body", body)).withColumn("m", error_metadata())
+    return read.select("event_id", "m.type", "m.title", "m.detail", error_detail().alias("text"))
 
 
 @query(

@@ -8,7 +8,7 @@ from ..operators.dedup import already_seen, dedup_logs, first_seen, merge_logs,
 from ..operators.limits import cutoff_pages, page_limit
 from ..operators.order import ORDER, last_known_kind, segment_records
 from ..operators.stats import outcome_counters, page_stats, run_counters
-from ..runtime import scratch_path
+from ..runtime import durable, scratch_path
 from ..sources.envelope import line_positions, read_lines, scan_files, write_envelope, written_files
 from ..sources.pages import delivered_posts, line_outcome, number_events
 from .collect import collect_events, collect_pages
@@ -297,7 +297,7 @@ kept AS (SELECT * FROM totals WHERE total - n < {TARGET})
 @query("page_limit", LIMIT_SQL + "SELECT block, id FROM fresh WHERE block IN (SELECT block FROM kept)")
 def limited_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Whole pages until the target is reached."""
-    new = unseen(delivered_posts(event_pages(spark, sf)), no_seen(spark), list(ORDER))
+    new = durable(unseen(delivered_posts(event_pages(spark, sf)), no_seen(spark), list(ORDER)), "new_posts")
     return page_limit(new, new, TARGET, ["id"]).select("block", "id")
 
 

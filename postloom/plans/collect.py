@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.dedup import unseen
 from ..operators.limits import page_limit
 from ..operators.order import ORDER
+from ..runtime import durable
 from ..sources.pages import delivered_posts, number_events, search_envelope, stream_envelope
 
 
@@ -39,7 +40,8 @@ def collect_pages(
     been asked for. Records are written before ids count as seen: the seen rows come from
     the same new posts and are appended after them.
     """
-    new_posts = unseen(delivered_posts(pages), seen, list(ORDER))
+    # Written first: everything below is derived from the written posts.
+    new_posts = durable(unseen(delivered_posts(pages), seen, list(ORDER)), "new_posts")
     if target_posts > 0:
         pages = page_limit(pages, new_posts, target_posts, ["block"])
         new_posts = page_limit(new_posts, new_posts, target_posts, ["id"])
@@ -56,7 +58,7 @@ def collect_events(
 ) -> Collected:
     """A stream run over captured lines (`log`, `block` = event number, `value`, `received_at`)."""
     events = number_events(lines).where("body is not null")
-    new_posts = unseen(delivered_posts(events), seen, list(ORDER))
+    new_posts = durable(unseen(delivered_posts(events), seen, list(ORDER)), "new_posts")
     if max_posts > 0:
         events = page_limit(events, new_posts, max_posts, ["block"])
         new_posts = page_limit(new_posts, new_posts, max_posts, ["id"])
