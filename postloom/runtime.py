@@ -16,11 +16,6 @@ SESSION_CONF = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # JSON work is heavy for its bytes, so small shuffles keep more tasks.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
-    # The flat row makes methods the JVM would not compile as one; above this size Spark
-    # uses split projections instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Answers of one post are few, the posts of a task many: hash them, do not sort.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     # Sessions are merged inside each input partition before the shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
