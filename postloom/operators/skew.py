@@ -40,7 +40,8 @@ def lookup_join(
 def hot_keys(rows: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys above the share: fewer than `share` rows by the pigeonhole principle."""
     counted = rows.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    # Summed from the counts, so the exchange of the counting pass is reused.
+    total = counted.agg(F.sum("_n")).scalar()
     return counted.where(F.col("_n") * share > total).select(*keys)
 
 

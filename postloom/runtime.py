@@ -12,8 +12,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A join on (split, row) may reuse data already hashed by split.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # JSON work is heavy for its bytes, so small shuffles keep more tasks.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # Sessions are merged inside each input partition before the shuffle.
