@@ -142,7 +142,7 @@ def stream_envelope(
 
 
 def running_total(
-    counts: DataFrame, value: str, name: str, across_logs: bool = False, width: int = 4096
+    counts: DataFrame, value: str, name: str, across_logs: bool = False, width: int = 1 << 18
 ) -> DataFrame:
     """Inclusive running sum of `value` over `block`, per log or over all logs in order.
 
