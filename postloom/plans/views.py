@@ -18,7 +18,12 @@ PLACE_IDS = 30
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. One that is a single file is spread over the cores, since all later
+    row work would run in the one task that reads it; many files are left as they are."""
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    if len(rows.inputFiles()) > 1:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def text(col: Column) -> Column:
