@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
-from .common import table
+from . import bpe, chat, packing
+from .common import own_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +35,20 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of 4096 tokens as best fit finds."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
+    marks = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id LONG, turn LONG, role STRING, text STRING"
+    )
+    turns = own_columns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").union(extra)
+    return chat.read_back(chat.format_chats(chat.turn_events(turns)))
