@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, packing
+from . import ann, bpe, chat, packing, topk
 from .common import own_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,17 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = own_columns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").union(extra)
     return chat.read_back(chat.format_chats(chat.turn_events(turns)))
+
+
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five largest integer inner products of every fiftieth vector, exactly."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(vectors["vec_id"] % 50 == 0), 5)
+
+
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors by cosine of every fiftieth vector, approximately."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(vectors["vec_id"] % 50 == 0), 5)
