@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 
 from . import grid
 
-#: Directions (even), points of a leaf, probability that ends a search, leaves of a round.
+#: Directions (even), points of a leaf, probability that ends a search, leaves of the first
+#: round (each further round reads twice as many).
 DIRECTIONS = 8
 LEAF = 32
-SURE = 0.99
+SURE = 0.95
 ROUND = 4
 SEED = 20240229
 #: Squared distances below this are those of copies.
@@ -73,6 +74,7 @@ def cell(k: int):
         leaves, low, high = tree(unit @ by)
         sizes = np.array([len(r) for r in leaves])
         starts = np.concatenate([[0], np.cumsum(sizes)])
+        places = [np.arange(a, b) for a, b in zip(starts[:-1], starts[1:])]
         rows = np.concatenate(leaves)
         ids, x, norms, unit = ids[rows], x[rows], norms[rows], unit[rows]  # leaf after leaf
         for i, y in enumerate(q_unit @ by):
@@ -80,21 +82,20 @@ def cell(k: int):
             bound = (away * away).sum(1)
             order = np.argsort(bound, kind="stable")
             bound = np.append(bound[order], np.inf)
-            far = np.full(len(x), np.inf)
             at, step, worst = 0, ROUND, np.inf
+            rows_met, far = np.zeros(0, np.int64), np.zeros(0)
             while at < len(order):
                 part = order[at : at + step]
-                part.sort()
-                met = np.concatenate([np.arange(starts[j], starts[j + 1]) for j in part])
+                at, step = at + len(part), 2 * step
+                met = np.concatenate([places[j] for j in part.tolist()])
                 met = met[ids[met] != query_ids[i]]
-                far[met] = 2 - 2 * (unit[met] @ q_unit[i])
-                at += len(part)
-                best = far[np.isfinite(far)]
-                if len(best) >= k:
-                    worst = float(np.partition(best, k - 1)[k - 1])
+                rows_met = np.concatenate([rows_met, met])
+                far = np.concatenate([far, 2 - 2 * (unit[met] @ q_unit[i])])
+                if len(far) >= k:
+                    worst = float(np.partition(far, k - 1)[k - 1])
                     if bound[at] > TINY and chi_square(bound[at] / max(worst, TINY), DIRECTIONS) >= SURE:
                         break
-            near = np.flatnonzero(far <= worst + 1e-9) if np.isfinite(worst) else np.flatnonzero(np.isfinite(far))
+            near = rows_met[far <= worst + 1e-9]
             scores = cosines(x[near], norms[near], q[i])
             order = np.lexsort((ids[near], -scores))[:k]
             yield i, ids[near][order], scores[order]

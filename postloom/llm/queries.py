@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, packing, topk
+from . import ann, bpe, chat, html_text, packing, topk
 from .common import own_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,10 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors by cosine of every fiftieth vector, approximately."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where(vectors["vec_id"] % 50 == 0), 5)
+
+
+@query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_text.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
