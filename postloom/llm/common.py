@@ -7,8 +7,12 @@ from running sums, so the cost per word does not depend on the length of the n-g
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,28 @@ _WORD_BASE = 0x9E3779B97F4A7C15
 _GRAM_BASE = 0xD6E8FEB86659FD93
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Let the session's Python workers import this package.
+
+    Where the driver's PYTHONPATH doesn't name it already, it goes to the executors as a
+    zip file over Spark's own file server, once per application.
+    """
+    top = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    known = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if top not in known and context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        file = Path(tempfile.mkdtemp(prefix="postloom-code-")) / "postloom.zip"
+        with zipfile.ZipFile(file, "w") as z:
+            for path in sorted((top / "postloom").rglob("*.py")):
+                z.write(path, path.relative_to(top))
+        context.addPyFile(str(file))
+    return spark
+
+
+_shipped: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, html_text, packing, topk
-from .common import own_columns, table
+from . import ann, bpe, chat, html_text, packing, quality, topk, toxicity
+from .common import own_columns, ship, table
+from .learning import crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,7 +18,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(ship(spark), sf_dir)
     return fn
 
 
@@ -73,3 +74,26 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = html_text.extract(table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _judged(scores: DataFrame, held_out: Column) -> DataFrame:
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    made = scores.withColumns({"held_out": held_out, "predicted": predicted.cast("int")})
+    first = ["doc_id", "held_out", "score", "predicted"]
+    return made.select(*first, *[c for c in scores.columns if c not in first])
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a quarter of the labels is held out."""
+    docs, held_out = table(spark, sf_dir, "documents"), crc(F.col("doc_id")) % 4 == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return _judged(toxicity.score(docs, model), held_out)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; a fifth of the labels is held out."""
+    docs, held_out = table(spark, sf_dir, "documents"), crc(F.col("doc_id")) % 5 == 0
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return _judged(quality.score(docs, model), held_out)
