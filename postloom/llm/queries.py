@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, html_text, packing, quality, topk, toxicity
+from . import ann, bpe, chat, html_text, neardup, packing, quality, topk, toxicity
 from .common import own_columns, ship, table
 from .learning import crc
 
@@ -97,3 +97,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc(F.col("doc_id")) % 5 == 0
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return _judged(quality.score(docs, model), held_out)
+
+
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
