@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, html_text, neardup, packing, quality, topk, toxicity
+from . import ann, bpe, chat, html_text, neardup, packing, quality, substring, topk, toxicity
 from .common import own_columns, ship, table
 from .learning import crc
 
@@ -103,3 +103,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return neardup.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word passages of documents before it."""
+    cut = substring.dedup(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
