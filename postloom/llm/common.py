@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
@@ -167,3 +167,20 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         ],
         schema=schema,
     )
+
+
+def keep_where(docs: DataFrame, judge: Callable[[], Callable[[pa.Array], np.ndarray]]) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text `judge()` keeps.
+
+    `judge` is called once per task; what it returns gets texts and gives booleans.
+    """
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keeps = judge()
+        for b in batches:
+            for lo, hi in chunks(b.column(at)):
+                part = b.slice(lo, hi - lo)
+                yield part.filter(pa.array(keeps(part.column(at)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import CHUNK_BYTES, GramHasher, batch, chunks, mix, text_bytes, word_hashes, words
 
@@ -236,11 +236,8 @@ def _marked(packed: list[bytes] | None, n: int, more: int) -> np.ndarray:
     return np.cumsum(mark)[:n] > 0
 
 
-_TEXTS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("packed", pa.binary())])
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the text) and packed (the text, compressed)."""
+def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
+    """doc_id, key (of the text), packed (the text, compressed) and rest (other columns)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -248,13 +245,16 @@ def _texts(docs: DataFrame) -> DataFrame:
             for lo, hi in chunks(b.column(2)):
                 part = b.slice(lo, hi - lo)
                 raw = [None if t is None else squeeze(t.encode()) for t in part.column(2).to_pylist()]
-                yield batch(_TEXTS, doc_id=part.column(0), key=part.column(1), packed=raw)
+                columns = [part.column(0), part.column(1), pa.array(raw, pa.binary()), part.column(3)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "packed", "rest"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id LONG, key LONG, packed BINARY")
+    others = F.struct(F.lit(0).alias("none"), *[docs[c] for c in rest]).alias("rest")
+    own = docs.select(*_keyed(docs), others)
+    return own.mapInArrow(run, T.StructType().add("doc_id", "long").add("key", "long").add("packed", "binary").add(own.schema["rest"]))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("key"), docs["text"])
+def _keyed(docs: DataFrame) -> list[Column]:
+    return [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("key"), docs["text"]]
 
 
 def _unpacked(packed: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
@@ -264,12 +264,11 @@ def _unpacked(packed: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
         yield lo, hi, pa.array([None if p is None else expand(p).decode() for p in packed.slice(lo, hi - lo).to_pylist()], pa.string())
 
 
-_CUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_string())])
-
-
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, rest: list[str] | None = None, verbatim: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words left, joined by one blank) of every row
-    of `docs` (doc_id, text).
+    of `docs` (doc_id, text), and rest (the other columns named, in a struct).
+
+    With `verbatim`, kept is the text itself where no word goes.
 
     A word goes when it lies in a window of 50 consecutive words that also starts in a
     document of smaller doc_id; windows are judged on the input. Null text has no words;
@@ -289,9 +288,9 @@ def dedup(docs: DataFrame) -> DataFrame:
                 yield from out.add(hashes, ids[lo:hi][text], keys[lo:hi][text], at)
         yield from out.send()
 
-    known = _keyed(docs).where("doc_id is not null and text is not null")
+    known = docs.select(*_keyed(docs)).where("doc_id is not null and text is not null")
     repeated = _settle(known.mapInArrow(anchors, _PACKED), "anchors", places)
-    texts = _texts(docs)
+    texts = _texts(docs, rest or [])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Sender(places, "windows")
@@ -306,7 +305,7 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     join = lambda found, how: texts.join(
         found, (texts["doc_id"] == found["doc"]) & (texts["key"] == found["key"]), how
-    ).select(texts["doc_id"], texts["key"], "packed", "runs")
+    ).select(texts["doc_id"], texts["key"], "packed", "runs", "rest")
     gone = _settle(join(repeated, "inner").mapInArrow(windows, _PACKED), "windows", places)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,8 +316,19 @@ def dedup(docs: DataFrame) -> DataFrame:
                 for k in range(hi - lo):
                     away = _marked(b.column(3)[lo + k].as_py(), int(n_words[k]), WINDOW - 1)
                     removed.append(int(away.sum()))
+                    if verbatim and not removed[-1]:
+                        kept.append(part[k].as_py())
+                        continue
                     of = t.first[k] + np.flatnonzero(~away)
                     kept.append(b" ".join([t.raw[x:y] for x, y in zip(t.starts[of].tolist(), t.ends[of].tolist())]).decode())
-                yield batch(_CUT, doc_id=b.column(0).slice(lo, hi - lo), n_words=n_words, n_removed=removed, kept=kept)
-
-    return join(gone, "left").mapInArrow(cut, "doc_id LONG, n_words LONG, n_removed LONG, kept STRING")
+                columns = [
+                    b.column(0).slice(lo, hi - lo),
+                    pa.array(n_words, pa.int64()),
+                    pa.array(removed, pa.int64()),
+                    pa.array(kept, pa.large_string()),
+                    b.column(4).slice(lo, hi - lo),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept", "rest"])
+
+    kind = T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    return join(gone, "left").mapInArrow(cut, kind.add(texts.schema["rest"]))

@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import batch, chunks
 from .learning import TRAIN_ROWS, labelled_sample, logistic, sigmoid
 
-#: Terms of the lexicon at most; toxic documents that must hold a term; its least log ratio
-#: and significance.
-TERMS = 2000
+#: Terms of the lexicon at most; toxic documents that must hold a term, as a number and as a
+#: share; its least log ratio and significance.
+TERMS = 1000
 LEAST_DOCS = 3
-LEAST_RATIO = 1.0
-LEAST_Z = 4.0
+LEAST_SHARE = 0.004
+LEAST_RATIO = 2.0
+LEAST_Z = 5.0
 #: Shorter terms are matched exactly only.
 LEAST_FUZZY = 5
 #: Weight of a misspelled term, a quoted one, one thrown at somebody.
@@ -67,41 +68,62 @@ class Trie:
                 node = node.setdefault(c, {})
             node[None] = t
         long = [t for t in terms if len(t) >= LEAST_FUZZY]
-        # One edit leaves the first or the second half of a term as it is.
-        heads, tails = {t[: len(t) // 2] for t in long}, {t[len(t) // 2 :] for t in long}
-        either = "|".join
-        self.near = (
-            re.compile(f"(?:{either(map(re.escape, sorted(heads)))})|.*(?:{either(map(re.escape, sorted(tails)))})\\Z", re.S)
-            if long
-            else None
-        )
+        less = lambda t: {t[:i] + t[i + 1 :] for i in range(len(t))}
+        self.shorter = set().union(*map(less, long)) if long else set()
+        self.either = self.shorter.union(long)
+        self.sizes = {len(t) + d for t in long for d in (-1, 0, 1)}
+
+    def may_be_close(self, word: str) -> bool:
+        """Whether the word, or the word less a letter, is a term or a term less a letter;
+        every word at distance one is such a word, and the walk tells which."""
+        if len(word) not in self.sizes:
+            return False
+        if word in self.shorter:
+            return True
+        either = self.either
+        for i in range(len(word)):
+            if word[:i] + word[i + 1 :] in either:
+                return True
+        return False
 
     def close(self, word: str) -> list[str]:
         """Terms (long ones) at distance one from the word.
 
-        The automaton's state after some letters of the trie is the row of edit distances
-        between them and every beginning of the word, in which only a band of three counts.
+        A state of the automaton is (letters of the word read, edits made). Without an edit
+        it follows one branch; at each node of it every edit is tried, after which only the
+        branch of the word's remaining letters is left.
         """
-        if self.near is None or not LEAST_FUZZY - 1 <= len(word) or not self.near.match(word):
+        if not self.may_be_close(word):
             return []
-        n, found = len(word), []
-        todo = [(self.root, 0, (0, 1))]  # node, depth, distances to word[:depth + (-1, 0, 1)]
-        todo = [(self.root, 0, (9, 0, 1 if n else 9))]
-        while todo:
-            node, depth, (a, b, c) = todo.pop()
+        found: set[str] = set()
+        node, n = self.root, len(word)
+        for i in range(n + 1):
+            here, after = word[i : i + 1], word[i + 1 : i + 2] or None
             for letter, child in node.items():
                 if letter is None:
-                    if len(child) >= LEAST_FUZZY and abs(n - depth) <= 1 and (a, b, c)[n - depth + 1] == 1:
-                        found.append(child)
                     continue
-                d = depth + 1
-                at = lambda k: 0 <= k < n and word[k] == letter  # noqa: B023, E731
-                x = min(b + 1, a + (not at(d - 2))) if d - 1 <= n else 9
-                y = min(c + 1, x + 1, b + (not at(d - 1))) if d <= n else 9
-                z = min(y + 1, c + (not at(d))) if d + 1 <= n else 9
-                if min(x, y, z) <= 1:
-                    todo.append((child, d, (x, y, z)))
-        return found
+                if (here or None) in child:  # the term has a letter more
+                    found.add(self._walk(child, word, i))
+                if i < n and letter != here and after in child:  # another letter
+                    found.add(self._walk(child, word, i + 1))
+            if i == n:
+                break
+            if after in node:  # the word has a letter more
+                found.add(self._walk(node, word, i + 1))
+            node = node.get(here)
+            if node is None:
+                break
+        found -= {None, word}
+        return [t for t in found if len(t) >= LEAST_FUZZY]
+
+    @staticmethod
+    def _walk(node: dict, word: str, i: int) -> str | None:
+        """The term that the rest of the word leads to."""
+        for c in word[i:]:
+            node = node.get(c)
+            if node is None:
+                return None
+        return node.get(None)
 
 
 @dataclass
@@ -221,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
     share = (F.col("n1") + F.col("n0")) / (n1 + n0)
     z = (p1 - p0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
     found = (
-        counts.where((F.col("n1") >= LEAST_DOCS) & (F.log(p1 / p0) >= LEAST_RATIO) & (z >= LEAST_Z))
+        counts.where((F.col("n1") >= max(LEAST_DOCS, LEAST_SHARE * n1)) & (F.log(p1 / p0) >= LEAST_RATIO) & (z >= LEAST_Z))
         .select("word", F.log(p1 / p0).alias("weight"), z.alias("z"))
         .orderBy(F.desc("z"), "word")
         .limit(TERMS)
@@ -238,26 +260,52 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
     # At most the strings at distance one from `TERMS` terms that harmless documents repeat.
     common = counts.where("n0 >= 2").select("word").mapInArrow(neighbours, "word STRING")
     model = Model(terms, {r[0] for r in common.collect()}, None)
-    measured = _measured(sample.select("text", "label"), model, "label INT").toPandas()
+    measured = _measured(sample, model).toPandas()
     x = features(measured[_MEASURED.names].to_numpy(float))
     model.weights = logistic(x, (measured["label"] == 1).to_numpy(float))
     return model
 
 
-def _measured(docs: DataFrame, model: Model, others: str) -> DataFrame:
-    """Measures of each text, beside the other columns (all but the first, text)."""
+def _measured(sample: DataFrame, model: Model) -> DataFrame:
+    """Label and measures of each text of the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for b in batches:
-            for lo, hi in chunks(b.column(0)):
+            for lo, hi in chunks(b.column(1)):
                 part = b.slice(lo, hi - lo)
-                rows = [scorer.measure(t) for t in part.column(0).to_pylist()]
+                rows = [scorer.measure(t) for t in part.column(1).to_pylist()]
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _MEASURED)]
-                yield pa.RecordBatch.from_arrays(part.columns[1:] + columns, part.schema.names[1:] + _MEASURED.names)
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["label", *_MEASURED.names])
 
     kinds = "total DOUBLE, terms LONG, hits LONG, quoted LONG, words LONG"
-    return docs.mapInArrow(run, f"{others}, {kinds}")
+    return sample.select("label", "text").mapInArrow(run, f"label INT, {kinds}")
+
+
+def line(model: Model, measured: np.ndarray) -> np.ndarray:
+    """Scores of measures."""
+    if model.weights is None:
+        return np.full(len(measured), model.prior)
+    x = features(measured)
+    return sigmoid((x * model.weights[:-1]).sum(1) + model.weights[-1])
+
+
+def judge(model: Model, least: float):
+    """For `common.keep_where`: keeps texts that score below `least`."""
+
+    def make():
+        scorer = Scorer(model)
+
+        def keeps(texts: pa.Array) -> np.ndarray:
+            rows = [scorer.measure(t) for t in texts.to_pylist()]
+            return line(model, np.array(rows, float).reshape(-1, len(_MEASURED))) < least
+
+        return keeps
+
+    return make
+
+
+_SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("hits", pa.int64()), ("quoted", pa.int64())])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -269,18 +317,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     an empty table. With labels of one kind only, every score is 1 or 0, with none 0.
     """
 
-    own = docs.select(docs["text"], docs["doc_id"].cast("long").alias("doc_id"))
-    measured = _measured(own, model, "doc_id LONG")
-    if model.weights is None:
-        made = F.lit(model.prior)
-    else:
-        total, terms, hits = F.col("total"), F.col("terms"), F.col("hits")
-        per = F.log1p(100 * total / F.greatest("words", F.lit(1)))
-        parts = [F.log1p(total), F.log1p(terms), per, F.log1p(hits), F.log1p(total) * per]
-        parts += [(terms > 1).cast("double"), (terms > 2).cast("double"), F.lit(1.0)]
-        line = sum(F.lit(float(w)) * p for w, p in zip(model.weights, parts))
-        made = 1 / (1 + F.exp(-line))
-    return measured.select("doc_id", made.cast("double").alias("score"), "hits", "quoted")
-
-
-__all__ = ["Model", "Scorer", "Trie", "features", "fit", "score", "sigmoid"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for b in batches:
+            for lo, hi in chunks(b.column(1)):
+                part = b.slice(lo, hi - lo)
+                rows = np.array([scorer.measure(t) for t in part.column(1).to_pylist()], float)
+                yield batch(
+                    _SCORES,
+                    doc_id=part.column(0),
+                    score=line(model, rows),
+                    hits=rows[:, 2].astype(np.int64),
+                    quoted=rows[:, 3].astype(np.int64),
+                )
+
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    return own.mapInArrow(run, "doc_id LONG, score DOUBLE, hits LONG, quoted LONG")
