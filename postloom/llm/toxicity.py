@@ -193,12 +193,12 @@ class Scorer:
 def between_marks(words: list[str], at: int) -> bool:
     """Whether a mark opens at or before the word and its partner closes at or behind it."""
     for i in range(at, -1, -1):
+        if i < at and (words[i].rstrip(".,;:!?")[-1:] or " ") in CLOSING:
+            return False
         opening = words[i][0]
         if opening in OPENING:
             closing = PARTNER[opening]
             return any(closing in words[j].lstrip(OPENING) for j in range(at, len(words)))
-        if i < at and words[i].rstrip(".,;:!?")[-1:] in CLOSING:
-            return False
     return False
 
 
