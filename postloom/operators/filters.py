@@ -124,8 +124,9 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
     for a big one, frequent words are spread over tasks. Only phrases go
     back to the text. Terms need at least one word.
     """
+    # Quotes around the whole term go; a single one belongs to it, as in `keyword_match`.
     terms = rules.select(
-        "rule_id", "tag", F.lower(strip(F.regexp_replace("term", '^"|"$', ""))).alias("term")
+        "rule_id", "tag", F.lower(strip(F.regexp_replace(strip(F.col("term")), '(?s)^"(.*)"$', "$1"))).alias("term")
     ).withColumn("_words", words_of(F.col("term")))
     longest = F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
     terms = terms.where(F.size("_words") > 0).withColumns(

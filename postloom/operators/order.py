@@ -15,8 +15,8 @@ from ..runtime import durable
 # Order key of every envelope record: log file or task, block in it, record in the block.
 ORDER = ("log", "block", "seq")
 SPLIT = ("log", "block")
-# Fixed value: most posts that share one lookup scope.
-VALVE = 50_000
+# Rows of one ordered range.
+RANGE_ROWS = 1_000_000
 
 
 def range_splits(rows: DataFrame, order: list[str], name: str = "splits") -> DataFrame:
@@ -25,11 +25,16 @@ def range_splits(rows: DataFrame, order: list[str], name: str = "splits") -> Dat
     Range bounds come from sampling, so the result is written once: every later
     pass must see the same split for a row.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = rows.repartitionByRange(parts, *order).withColumn("split", F.spark_partition_id())
+    cut = rows.repartitionByRange(range_count(rows), *order).withColumn("split", F.spark_partition_id())
     return durable(cut, name)
 
 
+def range_count(rows: DataFrame) -> int:
+    """How many ranges keep each under about `RANGE_ROWS` rows."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-rows.count() // RANGE_ROWS))
+
+
 def carry(
     summary: DataFrame,
     keys: list[str],
@@ -98,18 +103,28 @@ def kind_class(kind: Column) -> Column:
     )
 
 
-def segment_records(records: DataFrame, valve: int = VALVE) -> DataFrame:
+def segment_records(records: DataFrame, valve: int | None = None) -> DataFrame:
     """Add `segment` and `part`, the scope of a record's lookups.
 
     `records` has the order key, `kind` and `data`. Unknown kinds are dropped, as
-    are includes behind the last post (no post can use them). Each split is shuffled
-    once, by split; everything else runs on one row per split.
+    are includes behind the last post (no post can use them).
+    """
+    return records.join(segments_of(records, valve), list(ORDER))
+
+
+def segments_of(records: DataFrame, valve: int | None = None) -> DataFrame:
+    """Order key, `segment` and `part` of every record that has a scope; no payloads.
+
+    Only the order key, the kind and whether there is a payload are shuffled, once, by
+    split; everything else runs on one row per split. `valve` (W3) starts a new part
+    after so many posts of a segment; those then don't see what follows. Off by default.
     """
+    records = records.select(*ORDER, "kind", F.col("data").isNotNull().alias("has_data"))
     local = Window.partitionBy(*SPLIT).orderBy("seq")
     running = local.rowsBetween(Window.unboundedPreceding, 0)
     backwards = Window.partitionBy(*SPLIT).orderBy(F.col("seq").desc())
     ahead = backwards.rowsBetween(Window.unboundedPreceding, 0)
-    is_post = (F.col("cls") == "t") & F.col("data").isNotNull()
+    is_post = (F.col("cls") == "t") & F.col("has_data")
 
     marked = (
         records.withColumn("cls", kind_class(F.col("kind")))
@@ -184,13 +199,13 @@ def segment_records(records: DataFrame, valve: int = VALVE) -> DataFrame:
         .withColumns(
             {
                 "segment": F.when(F.col("_in_seg"), F.col("_raw")).otherwise(F.col("_seg_ahead")),
-                "part": F.when(
-                    F.col("_in_seg"), F.greatest(F.floor((rank - 1) / valve), F.lit(0))
-                ).otherwise(0).cast("bigint"),
+                "part": F.lit(0).cast("bigint")
+                if valve is None
+                else F.when(F.col("_in_seg"), F.greatest(F.floor((rank - 1) / valve), F.lit(0))).otherwise(0).cast("bigint"),
             }
         )
         .where("segment is not null")
-        .select(*records.columns, "segment", "part")
+        .select(*ORDER, "segment", "part")
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so at most
-# HOT_SHARE - 1 keys can be hot however large the data is.
-HOT_SHARE = 1000
-SALTS = 64
+# Rows of one key that one task takes. Over HOT_KEYS times as many rows in all, a task takes
+# 1/HOT_KEYS of them, so that fewer than HOT_KEYS keys are hot however large the data is.
+TASK_ROWS = 100_000
+HOT_KEYS = 100_000
 # Most rows and bytes of a lookup side that is sent to every task.
 SMALL_ROWS = 100_000
 SMALL_BYTES = 32 * 1024 * 1024
@@ -37,12 +37,14 @@ def lookup_join(
     return spread_join(rows, lookup, keys, spread, how)
 
 
-def hot_keys(rows: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys above the share: fewer than `share` rows by the pigeonhole principle."""
+def hot_keys(rows: DataFrame, keys: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more rows than one task takes, and `_salts`, the tasks that their count asks
+    for: fewer than HOT_KEYS rows by the pigeonhole principle."""
     counted = rows.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # Summed from the counts, so the exchange of the counting pass is reused.
     total = counted.agg(F.sum("_n")).scalar()
-    return counted.where(F.col("_n") * share > total).select(*keys)
+    most = F.greatest(F.lit(task_rows), F.ceil(total / F.lit(HOT_KEYS)))
+    return counted.where(F.col("_n") > most).select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_salts"))
 
 
 def spread_join(
@@ -51,30 +53,29 @@ def spread_join(
     keys: list[str],
     spread: list[str],
     how: str = "left",
-    salts: int = SALTS,
+    task_rows: int = TASK_ROWS,
     residual: Column | None = None,
 ) -> DataFrame:
-    """Equi-join of a big side with a lookup side, hot keys spread over `salts` tasks.
+    """Equi-join of a big side with a lookup side, hot keys spread over as many tasks as
+    their counts ask for.
 
     `spread` names columns that tell apart the rows of one key; the salt is a
     hash of them, so a re-run task gives every row the same salt. Only lookup
     rows of hot keys are repeated, once per salt. `how` is left, inner,
     left_semi or left_anti; `residual` is a further join condition over columns whose
     names differ between the sides. The list of hot keys is broadcast: it has fewer than
-    HOT_SHARE rows of key columns.
+    HOT_KEYS rows of key columns.
     """
-    hot = F.broadcast(hot_keys(rows, keys).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    left = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = F.broadcast(hot_keys(rows, keys, task_rows))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), salts - 1))
+    right = lookup.join(hot, keys, "left").withColumn("_salt", copies).drop("_salts")
     if residual is None:
-        return left.drop("_hot").join(right, [*keys, "_salt"], how).drop("_salt")
+        return left.drop("_salts").join(right, [*keys, "_salt"], how).drop("_salt")
     matched = residual
     for key in (*keys, "_salt"):
         right = right.withColumnRenamed(key, f"_r{key}")
         matched = matched & (F.col(key) == F.col(f"_r{key}"))
-    joined = left.drop("_hot").join(right, matched, how)
+    joined = left.drop("_salts").join(right, matched, how)
     return joined.drop("_salt", *[f"_r{key}" for key in (*keys, "_salt")])

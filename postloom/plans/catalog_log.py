@@ -145,7 +145,7 @@ FROM ranked WHERE seg IS NOT NULL
 """
 
 
-@query("segments", SEGMENT_SQL.format(valve=50000))
+@query("segments", SEGMENT_SQL.format(valve=2**60))
 def segments(spark: SparkSession, sf: str) -> DataFrame:
     """W1, W2"""
     return segment_records(event_records(spark, sf)).select(F.col("seq").alias("event_id"), "segment", "part")
