@@ -117,7 +117,8 @@ def words_of(text: Column) -> Column:
 
 
 def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> DataFrame:
-    """J10 for a table of rules `(rule_id, tag, term)`: one row per matched (post, rule).
+    """J10 for a table of rules `(rule_id, tag, term)`: `key` and `matching_rules` (sorted by
+    id) of every post that a rule matches, a row per post.
 
     Not a nested loop: each term is found by its longest word, in an equi-join with the
     distinct words of the posts. A small rule table is broadcast after a check of its size;
@@ -127,14 +128,17 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
     # Quotes around the whole term go; a single one belongs to it, as in `keyword_match`.
     terms = rules.select(
         "rule_id", "tag", F.lower(strip(F.regexp_replace(strip(F.col("term")), '(?s)^"(.*)"$', "$1"))).alias("term")
-    ).withColumn("_words", words_of(F.col("term")))
+    )
+    # Posts meet each different term once, however many rules have it.
+    terms = terms.groupBy("term").agg(F.collect_set(F.struct(F.col("rule_id").alias("id"), "tag")).alias("rules"))
+    terms = terms.withColumn("_words", words_of(F.col("term")))
     longest = F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
     terms = terms.where(F.size("_words") > 0).withColumns(
         {"word": longest["w"], "is_word": F.col("_words")[0] == F.col("term")}
     ).drop("_words")
     words = posts.select(key, F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    near = lookup_join(words, terms, ["word"], [key], "inner").select(key, "rule_id", "tag", "term", "is_word")
-    exact = near.where("is_word").select(key, "rule_id", "tag")
+    near = lookup_join(words, terms, ["word"], [key], "inner").select(key, "rules", "term", "is_word")
+    exact = near.where("is_word").select(key, "rules")
     # Regex metacharacters of the term are quoted; blanks stand for any run of blanks.
     quoted = F.regexp_replace("term", r"([^\p{L}\p{N}_\s])", r"\\$1")
     pattern = F.concat(
@@ -150,6 +154,7 @@ def match_rule_table(posts: DataFrame, rules: DataFrame, key: str = "id") -> Dat
         .withColumn("_needle", F.regexp_replace("term", r"\s+", " "))
         .join(texts, key)
         .where(F.when(F.contains("_flat", "_needle"), F.rlike("text", pattern)).otherwise(False))
-        .select(key, "rule_id", "tag")
+        .select(key, "rules")
     )
-    return exact.unionByName(phrases).distinct()
+    found = exact.unionByName(phrases).groupBy(key).agg(F.flatten(F.collect_list("rules")).alias("_rules"))
+    return found.select(key, F.array_sort(F.array_distinct("_rules")).alias("matching_rules"))

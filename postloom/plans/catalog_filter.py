@@ -106,29 +106,30 @@ def rule_match(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "rule_match_table",
     rf"""
-WITH words AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM benchmark),
+WITH words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w,
+         regexp_replace(lower(trim(text)), '\s+', ' ', 'g') AS whole FROM benchmark),
 docs AS (
   SELECT doc_id, text, regexp_replace(lower(text), '\s+', ' ', 'g') AS flat,
-         list_distinct(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS w FROM documents)
-SELECT doc_id AS id, CAST(item_id AS VARCHAR) AS rule_id, 'word' AS tag FROM docs, words
-WHERE list_contains(docs.w, words.w[1])
-UNION ALL
-SELECT doc_id, 'p' || item_id, 'phrase' FROM docs, words
-WHERE CASE WHEN contains(flat, words.w[2] || ' ' || words.w[3])
-  THEN regexp_matches(text, '(?i){B}(' || words.w[2] || '\s+' || words.w[3] || '){E}') ELSE false END
+         list_distinct(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS w FROM documents),
+hits AS (
+  SELECT doc_id AS id, item_id || '/word' AS rule FROM docs, words WHERE list_contains(docs.w, words.w[1])
+  UNION ALL
+  SELECT doc_id, 'p' || item_id || '/phrase' FROM docs, words
+  WHERE CASE WHEN contains(flat, whole) THEN regexp_matches(text, '(?i){B}(' || regexp_replace(
+    regexp_replace(whole, '([^\p{{L}}\p{{N}}_\s])', '\\\1', 'g'), '\s+', '\\s+', 'g') || '){E}') ELSE false END)
+SELECT id, string_agg(rule, ';' ORDER BY rule) AS rules FROM hits GROUP BY id
 """,
 )
 def rule_match_by_table(spark: SparkSession, sf: str) -> DataFrame:
-    """J10 for a table of rules: words and two-word phrases of the benchmark texts."""
+    """J10 for a table of rules: the first word and the whole text of each benchmark item."""
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    w = table(spark, sf, "benchmark").select(text(F.col("item_id")).alias("item"), words.alias("w"))
+    w = table(spark, sf, "benchmark").select(text(F.col("item_id")).alias("item"), words.alias("w"), "text")
     single = w.select(F.col("item").alias("rule_id"), F.lit("word").alias("tag"), F.col("w")[0].alias("term"))
-    phrase = w.select(
-        F.concat(F.lit("p"), "item").alias("rule_id"),
-        F.lit("phrase").alias("tag"),
-        F.concat_ws(" ", F.col("w")[1], F.col("w")[2]).alias("term"),
-    )
-    return match_rule_table(document_posts(spark, sf), single.unionByName(phrase))
+    phrase = w.select(F.concat(F.lit("p"), "item").alias("rule_id"), F.lit("phrase").alias("tag"), F.col("text").alias("term"))
+    hits = match_rule_table(document_posts(spark, sf), single.unionByName(phrase))
+    names = F.transform("matching_rules", lambda r: F.concat(r["id"], F.lit("/"), r["tag"]))
+    return hits.select("id", F.array_join(F.array_sort(names), ";").alias("rules"))
 
 
 @query(

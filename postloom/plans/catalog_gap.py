@@ -28,11 +28,12 @@ from ..streaming.jobs import (
     keep_latest,
     line_stream,
     progress_stream,
+    run_for,
 )
 from .catalog_flat import FLAT_SQL
 from .catalog_log import LINES_SQL
 from .registry import query
-from .views import connection_log, event_lines, order_log, table, text
+from .views import EVENT_POST_SQL, connection_log, event_lines, event_post, order_log, table, text
 
 TIE = ("event_id",)
 
@@ -139,9 +140,9 @@ def gap_records(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "gap_backfill",
     GAP_SQL.replace("CAST(user_id AS VARCHAR) AS task_name", "CAST(user_id // 50 AS VARCHAR) AS task_name")
-    + """
+    + f"""
 , hit AS (
-  SELECT event_id % 4000 AS id, event_id, ts FROM events e WHERE EXISTS (
+  SELECT {EVENT_POST_SQL} AS id, event_id, ts FROM events e WHERE EXISTS (
     SELECT 1 FROM gaps WHERE e.ts >= start_time_utc AND e.ts < end_time_utc)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn FROM hit)
 SELECT id, event_id, ts FROM ranked WHERE rn = 1 AND id NOT IN (SELECT event_id FROM events WHERE event_type = 'click')
@@ -154,7 +155,7 @@ def backfill(spark: SparkSession, sf: str) -> DataFrame:
     )
     gaps = connection_gaps(log, TIE)
     events = table(spark, sf, "events")
-    archive = events.select((F.col("event_id") % 4000).alias("id"), "event_id", "ts")
+    archive = events.select(event_post(F.col("event_id")).alias("id"), "event_id", "ts")
     seen = events.where("event_type = 'click'").select(F.col("event_id").alias("id"))
     return gap_backfill(archive, gaps, seen, ["event_id"])
 
@@ -233,20 +234,20 @@ def append_all(stream: DataFrame, target: str, checkpoint: str) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-@query("stream_dedup", "SELECT DISTINCT CAST(event_id % 4000 AS VARCHAR) AS id FROM events")
+@query("stream_dedup", f"SELECT DISTINCT CAST({EVENT_POST_SQL} AS VARCHAR) AS id FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """T3 on the state store."""
     target, checkpoint = folders(spark, "stream_dedup")
-    ids = event_stream(spark, sf).select(text(F.col("event_id") % 4000).alias("id"))
+    ids = event_stream(spark, sf).select(textevent_post(F.col("event_id")).alias("id"))
     append_all(dedup_stream(ids), target, checkpoint)
     return spark.read.schema("id STRING").parquet(target)
 
 
-@query("stream_dedup_bounded", "SELECT DISTINCT CAST(event_id % 4000 AS VARCHAR) AS id FROM events")
+@query("stream_dedup_bounded", f"SELECT DISTINCT CAST({EVENT_POST_SQL} AS VARCHAR) AS id FROM events")
 def stream_dedup_bounded(spark: SparkSession, sf: str) -> DataFrame:
     """T4: a delay longer than the data keeps the exact result."""
     target, checkpoint = folders(spark, "stream_dedup_bounded")
-    ids = event_stream(spark, sf).select(text(F.col("event_id") % 4000).alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    ids = event_stream(spark, sf).select(textevent_post(F.col("event_id")).alias("id"), F.col("ts").cast("timestamp").alias("ts"))
     append_all(dedup_stream_within(ids, "ts", "60 days").select("id"), target, checkpoint)
     return spark.read.schema("id STRING").parquet(target)
 
@@ -284,11 +285,16 @@ def stream_heartbeat(spark: SparkSession, sf: str) -> DataFrame:
     return read.withColumn("slot_start", F.col("slot_start").cast("timestamp_ntz"))
 
 
+def slices(rows: DataFrame) -> int:
+    """Files that a stream reads: four, and more for large tables."""
+    return max(4, rows.count() // 50_000)
+
+
 def connection_files(spark: SparkSession, sf: str) -> str:
     """The connection log in time slices, one file each, as it would arrive."""
     path = scratch_path(spark, "connection_files")
     log = connection_log(spark, sf)
-    log.repartitionByRange(4, "ts").write.parquet(path)
+    log.repartitionByRange(slices(log), "ts").write.parquet(path)
     return path
 
 
@@ -318,7 +324,8 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
 def line_files(spark: SparkSession, sf: str) -> str:
     """The event lines as text files in event order."""
     path = scratch_path(spark, "line_files")
-    lines = event_lines(spark, sf).repartitionByRange(4, "block").sortWithinPartitions("block")
+    lines = event_lines(spark, sf)
+    lines = lines.repartitionByRange(slices(lines), "block").sortWithinPartitions("block")
     lines.select("value").write.text(path)
     return path
 
@@ -350,7 +357,17 @@ def stream_stop(spark: SparkSession, sf: str) -> DataFrame:
     """A stream run that stops at a number of posts."""
     target, checkpoint = folders(spark, "stream_stop")
     lines = line_stream(spark, line_files(spark, sf), "part-*")
-    collect_stream(lines, target, checkpoint, max_posts=700).awaitTermination()
+    run_for(collect_stream(lines, target, checkpoint, max_posts=700))
+    return spark.read.parquet(f"{target}/posts").select("id")
+
+
+@query("stream_resume", LINES_SQL + "SELECT id FROM fresh")
+def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that stops at a number of posts, then one without a limit: no post is lost."""
+    target, checkpoint = folders(spark, "stream_resume")
+    path = line_files(spark, sf)
+    run_for(collect_stream(line_stream(spark, path, "part-*", max_files=1), target, checkpoint, max_posts=100))
+    run_for(collect_stream(line_stream(spark, path, "part-*", max_files=1), target, checkpoint))
     return spark.read.parquet(f"{target}/posts").select("id")
 
 
@@ -361,4 +378,4 @@ def stream_convert(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "closed_log")
     write_envelope(order_log(spark, sf), path)
     convert_stream(line_stream(spark, path, "part-*"), target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).drop("batch_id")
+    return spark.read.parquet(f"{target}/flat").drop("batch_id")

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.dedup import already_seen, dedup_logs, first_seen, merge_logs, new_seen, seen_count, unseen
 from ..operators.limits import cutoff_pages, page_limit
 from ..operators.order import ORDER, last_known_kind, segment_records
 from ..operators.stats import outcome_counters, page_stats, run_counters
 from ..runtime import durable, scratch_path
-from ..sources.envelope import line_positions, read_lines, scan_files, write_envelope, written_files
+from ..sources.envelope import (
+    line_positions,
+    next_offset,
+    read_lines,
+    read_log,
+    scan_files,
+    write_envelope,
+    write_log,
+    written_files,
+)
 from ..sources.pages import delivered_posts, line_outcome, number_events
 from .collect import collect_events, collect_pages
-from .convert import closed_records
+from .convert import closed_records, convert
 from .registry import query
-from .views import event_lines, event_pages, event_records, line_items, table, text
+from .views import EVENT_POST_SQL, event_lines, event_pages, event_records, line_items, table, text
 
 SEEN_AT = "2024-02-01T00:00:00Z"
 
@@ -24,9 +33,9 @@ def no_seen(spark: SparkSession) -> DataFrame:
 
 
 # Delivered posts of the event pages and which of them are new.
-PAGES_SQL = """
+PAGES_SQL = f"""
 WITH raw AS (
-  SELECT event_id AS block, 0 AS pos, CAST(event_id % 4000 AS VARCHAR) AS id, event_type AS txt FROM events
+  SELECT event_id AS block, 0 AS pos, CAST({EVENT_POST_SQL} AS VARCHAR) AS id, event_type AS txt FROM events
   UNION ALL SELECT event_id, 1, 'u' || user_id, 'profile' FROM events),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY block, pos) AS rn FROM raw),
 fresh AS (SELECT block, pos, id, txt FROM ranked WHERE rn = 1),
@@ -64,9 +73,9 @@ def search_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return run.records.select("block", "kind", "data")
 
 
-LINES_SQL = """
+LINES_SQL = f"""
 WITH ev AS (
-  SELECT event_id AS block, CAST(event_id % 4000 AS VARCHAR) AS id, event_type AS t, user_id AS u,
+  SELECT event_id AS block, CAST({EVENT_POST_SQL} AS VARCHAR) AS id, event_type AS t, user_id AS u,
          strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS heard
   FROM events WHERE event_type IN ('click', 'purchase')),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY block) AS rn FROM ev),
@@ -381,3 +390,58 @@ def positions(spark: SparkSession, sf: str) -> DataFrame:
         F.max(F.col("line_start") + F.octet_length("value") + 1).cast("bigint").alias("end"),
     )
     return ends.agg(F.sum("n").alias("lines"), F.sum("end").alias("bytes"))
+
+
+@query(
+    "log_to_table",
+    PAGES_SQL + """
+SELECT sink, id AS tweet_id, txt AS text FROM fresh, (SELECT 'csv' AS sink UNION ALL SELECT 'columnar')
+""",
+)
+def log_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages to a log of named files, two conversions, both sinks."""
+    folder, csv, columnar = (scratch_path(spark, n) for n in ("task_log", "csv", "columnar"))
+    records = durable(collect_pages(event_pages(spark, sf), no_seen(spark), F.lit(SEEN_AT)).records, "collected")
+    half = F.col("block") < records.agg(F.max("block") / 2).scalar()
+    write_log(records.where(half), folder, "task", "20240101T000000", compress=True)
+    write_log(records.where(half), folder, "other", "20240101T000000")
+    first = convert(spark, folder, "task", csv, columnar)
+    write_log(records.where(~half), folder, "task", "20240102T000000")
+    convert(spark, folder, "task", csv, columnar, offset=first.offset)
+    table_ = spark.read.parquet(columnar)
+    text_ = spark.read.schema(table_.schema).option("header", True).option("multiLine", True).option("escape", '"').csv(csv)
+    named = lambda df, sink: df.select(F.lit(sink).alias("sink"), "tweet_id", "text")
+    return named(text_, "csv").unionByName(named(table_, "columnar"))
+
+
+@query("ordered_output", PAGES_SQL + "SELECT id AS tweet_id, row_number() OVER (ORDER BY block, pos) AS n FROM fresh")
+def ordered_output(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: the number of each row in the columnar output, files by name."""
+    folder, columnar = scratch_path(spark, "task_log"), scratch_path(spark, "columnar")
+    records = durable(collect_pages(event_pages(spark, sf), no_seen(spark), F.lit(SEEN_AT)).records, "collected")
+    write_log(records, folder, "task", "20240101T000000")
+    convert(spark, folder, "task", columnar_path=columnar)
+    rows = spark.read.parquet(columnar).select(
+        "tweet_id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, "file").select("tweet_id", (F.col("start") + F.col("row") + 1).alias("n"))
+
+
+@query("log_increments", PAGES_SQL + "SELECT id FROM fresh")
+def log_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Two successive scans of a log that grows and is compressed between them."""
+    folder = scratch_path(spark, "task_log")
+    records = durable(collect_pages(event_pages(spark, sf), no_seen(spark), F.lit(SEEN_AT)).records, "collected")
+    half = F.col("block") < records.agg(F.max("block") / 2).scalar()
+    write_log(records.where(half), folder, "task", "20240101T000000")
+    first = read_log(spark, folder, "task")
+    taken = durable(first.records, "first")
+    offset = next_offset(first)
+    compressed = scratch_path(spark, "task_log")
+    write_log(records.where(half), compressed, "task", "20240101T000000", compress=True)
+    write_log(records.where(~half), compressed, "task", "20240102T000000")
+    both = taken.unionByName(read_log(spark, compressed, "task", offset).records)
+    return both.where("kind = 'tweet'").select(F.get_json_object("data", "$.id").alias("id"))

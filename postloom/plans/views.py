@@ -13,7 +13,6 @@ from ..sources.envelope import write_envelope
 from ..runtime import scratch_path
 
 PAGE_SIZE = 100
-MEDIA_IDS = 3000
 PLACE_IDS = 30
 
 
@@ -23,13 +22,33 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/{name}.parquet")
     if len(rows.inputFiles()) > 1:
         return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def text(col: Column) -> Column:
     return col.cast("string")
 
 
+EVENT_POST_SQL = "CASE WHEN event_id >= 80 THEN event_id - event_id % 3 * 40 ELSE event_id END"
+
+
+def event_post(e: Column) -> Column:
+    """Post id of an event: two thirds of the events repeat the post of one 40 or 80 before.
+
+    Like the other keys here, its range is a share of the table, so that work grows with it.
+    """
+    return F.when(e >= 80, e - e % 3 * 40).otherwise(e)
+
+
+def media_keys(k: Column, c: Column) -> tuple[Column, Column]:
+    """Two parts of an order; of the first a few don't exist."""
+    return text(F.floor(k / 7)), text(c + F.floor(c / 3))
+
+
+def mentioned(k: Column) -> Column:
+    return text(F.floor(k / 10))
+
+
 def order_post(k: Column, c: Column, row: dict[str, Column]) -> Column:
     """Payload of an order read as a post."""
     kind = (
@@ -46,7 +65,7 @@ def order_post(k: Column, c: Column, row: dict[str, Column]) -> Column:
         k % 3 == 0,
         F.array(
             F.struct(text(c + 1).alias("id"), F.concat(F.lit("u"), text(c + 1)).alias("username")),
-            F.struct(text((c * 7) % 1000).alias("id"), F.concat(F.lit("u"), text((c * 7) % 1000)).alias("username")),
+            F.struct(mentioned(k).alias("id"), F.concat(F.lit("u"), mentioned(k)).alias("username")),
         ),
     )
     entities = F.struct(
@@ -59,7 +78,7 @@ def order_post(k: Column, c: Column, row: dict[str, Column]) -> Column:
             )
         ).alias("urls"),
     )
-    keys = F.array(text((k * 13) % MEDIA_IDS), text((k * 17 + c) % MEDIA_IDS))
+    keys = F.array(*media_keys(k, c))
     return F.to_json(
         F.struct(
             text(k).alias("id"),
@@ -124,7 +143,7 @@ def lookup_objects(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("public_metrics"),
         )
     )
-    users = table(spark, sf, "customer").where("c_mktsegment <> 'MACHINERY'").select(
+    users = table(spark, sf, "customer").select(
         F.lit("include:users").alias("kind"), text(c).alias("key"), user.alias("data")
     )
     p, size = F.col("p_partkey"), F.col("p_size")
@@ -161,10 +180,10 @@ def order_log(spark: SparkSession, sf: str) -> DataFrame:
     named = F.array(
         F.struct(F.lit("include:users").alias("kind"), text(c).alias("key")),
         F.struct(F.lit("include:places").alias("kind"), text(k % PLACE_IDS).alias("key")),
-        F.when(k % 4 > 0, F.struct(F.lit("include:media").alias("kind"), text((k * 13) % MEDIA_IDS).alias("key"))),
-        F.when(k % 4 > 0, F.struct(F.lit("include:media").alias("kind"), text((k * 17 + c) % MEDIA_IDS).alias("key"))),
+        F.when(k % 4 > 0, F.struct(F.lit("include:media").alias("kind"), media_keys(k, c)[0].alias("key"))),
+        F.when(k % 4 > 0, F.struct(F.lit("include:media").alias("kind"), media_keys(k, c)[1].alias("key"))),
         F.when(k % 3 == 0, F.struct(F.lit("include:users").alias("kind"), text(c + 1).alias("key"))),
-        F.when(k % 3 == 0, F.struct(F.lit("include:users").alias("kind"), text((c * 7) % 1000).alias("key"))),
+        F.when(k % 3 == 0, F.struct(F.lit("include:users").alias("kind"), mentioned(k).alias("key"))),
     )
     block = F.floor(k / PAGE_SIZE).cast("bigint")
     wanted = (
@@ -232,7 +251,7 @@ def event_pages(spark: SparkSession, sf: str) -> DataFrame:
     body = F.to_json(
         F.struct(
             F.array(
-                F.struct(text(e % 4000).alias("id"), F.col("event_type").alias("text")),
+                F.struct(text(event_post(e)).alias("id"), F.col("event_type").alias("text")),
                 F.struct(F.concat(F.lit("u"), text(u)).alias("id"), F.lit("profile").alias("text")),
                 F.struct(F.lit("").alias("id"), F.lit("no id").alias("text")),
             ).alias("data"),
@@ -248,7 +267,7 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     e, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
     event = F.to_json(
         F.struct(
-            F.struct(text(e % 4000).alias("id"), t.alias("text"), text(u).alias("author_id")).alias("data"),
+            F.struct(text(event_post(e)).alias("id"), t.alias("text"), text(u).alias("author_id")).alias("data"),
             F.struct(F.array(F.struct(text(u).alias("id"))).alias("users")).alias("includes"),
             F.array(F.struct(F.lit("r1").alias("id"), t.alias("tag"))).alias("matching_rules"),
         )
