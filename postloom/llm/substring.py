@@ -39,9 +39,12 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
 
-#: Packed rows that a task gathers before it deals them out, and rows aimed at per place.
+#: Packed rows that a task gathers before it deals them out, rows aimed at per place, and
+#: places of a task. With many places a document's finds come back in about as many rows as
+#: it has finds, whatever the size of the corpus; with few places, in as many as there are.
 BUFFER = 2_000_000
-PLACE_ROWS = 500_000
+PLACE_ROWS = 50_000
+TASK_PLACES = 8
 
 _ITEM = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("at", "<i4")])
 _RUN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<i4"), ("end", "<i4")])
@@ -219,7 +222,7 @@ def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
         if place is not None:
             yield from done()
 
-    dealt = packed.repartition(places, "place").sortWithinPartitions("place")
+    dealt = packed.repartition(max(8, places // TASK_PLACES), "place").sortWithinPartitions("place")
     return dealt.mapInArrow(run, _SPOTS).groupBy("doc", "key").agg(F.collect_list("runs").alias("runs"))
 
 
