@@ -25,7 +25,6 @@ from ..streaming.jobs import (
     gap_stream,
     heartbeats,
     idle_sessions,
-    keep_latest,
     line_stream,
     progress_stream,
     run_for,
@@ -259,13 +258,14 @@ WITH m AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION B
                      THEN 0 ELSE 1 END AS opens FROM events),
 s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM m)
 SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS lines FROM s GROUP BY user_id, n
+HAVING max(ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """,
 )
 def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    """T7"""
+    """The sessions that the watermark has closed."""
     target, checkpoint = folders(spark, "stream_sessions")
     events = event_stream(spark, sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    keep_latest(idle_sessions(events, "user_id", seconds=3600), target, checkpoint).awaitTermination()
+    append_all(idle_sessions(events, "user_id", seconds=3600), target, checkpoint)
     ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")]
     return spark.read.schema("user_id BIGINT, first_ts TIMESTAMP, last_ts TIMESTAMP, lines BIGINT").parquet(target).select(
         "user_id", *ntz, "lines"
@@ -274,13 +274,16 @@ def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "stream_heartbeat",
-    "SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events GROUP BY ALL",
+    """
+SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events
+GROUP BY ALL HAVING slot_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+""",
 )
 def stream_heartbeat(spark: SparkSession, sf: str) -> DataFrame:
-    """T8"""
+    """The slots that the watermark has closed."""
     target, checkpoint = folders(spark, "stream_heartbeat")
     events = event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("event"))
-    keep_latest(heartbeats(events), target, checkpoint).awaitTermination()
+    append_all(heartbeats(events), target, checkpoint)
     read = spark.read.schema("slot_start TIMESTAMP, event STRING, lines BIGINT").parquet(target)
     return read.withColumn("slot_start", F.col("slot_start").cast("timestamp_ntz"))
 

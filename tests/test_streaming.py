@@ -3,7 +3,18 @@ import os
 
 from pyspark.sql import functions as F
 
-from postloom.streaming.jobs import collect_stream, gap_stream, line_stream
+from postloom.streaming.jobs import (
+    collect_stream,
+    convert_stream,
+    dedup_stream_within,
+    flush_held,
+    gap_stream,
+    idle_sessions,
+    line_stream,
+    run_for,
+)
+
+from helpers import include, page, tweet
 
 
 def event(id, **extra):
@@ -50,3 +61,71 @@ def test_gap_stays_open_over_batches(spark, tmp_path):
     assert [(g.task_name, g.start_time_utc.minute, g.end_time_utc.minute, g.reason) for g in gaps] == [
         ("a", 0, 2, "server_error")
     ]
+
+
+def test_limit_stops_and_resumes_without_loss(spark, tmp_path):
+    src, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    src.mkdir()
+    for k in range(3):
+        put(src, f"{k}.jsonl", [event(str(3 * k + i)) for i in range(3)], 1_700_000_000 + k)
+    lines = lambda: line_stream(spark, str(src), "*.jsonl", max_files=1)
+    ids = lambda: sorted(r.id for r in spark.read.parquet(f"{target}/posts").collect())
+    assert run_for(collect_stream(lines(), target, check, max_posts=4)) == "max_posts"
+    assert ids() == list("0123")
+    assert run_for(collect_stream(lines(), target, check, max_posts=4)) == "max_posts"
+    assert ids() == list("0123")
+    assert run_for(collect_stream(lines(), target, check)) == "completed"
+    assert ids() == list("012345678")
+
+
+def test_conversion_waits_for_markers_and_keeps_bad_lines(spark, tmp_path):
+    src, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    src.mkdir()
+    put(src, "b.jsonl", [tweet("1", author_id="7"), page(), tweet("2", author_id="8"), "no json"], 1_700_000_000)
+    put(src, "a.jsonl", [include(id="8", username="eight"), page(), "{broken", tweet("3", author_id="8")], 1_700_000_100)
+    convert_stream(line_stream(spark, str(src), "*.jsonl", max_files=1), target, check).awaitTermination()
+    flat = spark.read.parquet(f"{target}/flat").select("tweet_id", "author_username").collect()
+    assert sorted(map(tuple, flat), key=str) == [("1", None), ("2", "eight")]
+    assert sorted(r.value for r in spark.read.parquet(f"{target}/quarantine").collect()) == ["no json", "{broken"]
+    assert [r.tweet_id for r in flush_held(spark, target).collect()] == ["3"]
+
+
+def feed_times(spark, src, rows):
+    df = spark.createDataFrame(rows, "id STRING, t STRING").select("id", F.col("t").cast("timestamp").alias("ts"))
+    df.coalesce(1).write.mode("append").parquet(src)
+
+
+def run_append(stream, target, check):
+    stream.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(target).awaitTermination()
+
+
+def test_bounded_dedup_forgets_after_its_delay(spark, tmp_path):
+    src, target, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    for rows in ([("a", "2024-01-01 00:00:00")], [("a", "2024-01-01 00:05:00"), ("b", "2024-01-01 03:00:00")], [("a", "2024-01-01 04:00:00")]):
+        feed_times(spark, src, rows)
+        stream = spark.readStream.schema("id STRING, ts TIMESTAMP").parquet(src)
+        run_append(dedup_stream_within(stream, "ts", "1 hour"), target, check)
+    got = spark.read.parquet(target).select("id", F.hour("ts").alias("h")).collect()
+    assert sorted(map(tuple, got)) == [("a", 0), ("a", 4), ("b", 3)]
+
+
+def test_session_state_expires(spark, tmp_path):
+    src, target, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    left = []
+    for h in range(4):
+        feed_times(spark, src, [(f"u{h}{i}", f"2024-01-01 {2 * h:02}:00:0{i}") for i in range(3)])
+        sessions = idle_sessions(spark.readStream.schema("id STRING, ts TIMESTAMP").parquet(src), "id", seconds=600)
+        query = sessions.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(target)
+        query.awaitTermination()
+        left.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert spark.read.parquet(target).count() == 9 and max(left) <= 3
+
+
+def test_gap_diagnostics_survive_batches(spark, tmp_path):
+    src, target, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    ddl = "task_name STRING, ts TIMESTAMP_NTZ, event STRING, reason STRING, status INT"
+    for t, kind, status in (("00:00:00", "failed", 503), ("00:01:00", "failed", 429), ("00:02:00", "connected", None)):
+        df = spark.createDataFrame([("a", f"2024-01-01 {t}", kind, "", status)], "task_name STRING, t STRING, event STRING, reason STRING, status INT")
+        df.select("task_name", F.col("t").cast("timestamp_ntz").alias("ts"), "event", "reason", "status").write.mode("append").parquet(src)
+        gap_stream(spark.readStream.schema(ddl).parquet(src), target, check).awaitTermination()
+    assert [r.status for r in spark.read.parquet(f"{target}/gaps").collect()] == [503]
