@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +53,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/postloom/{uuid.uuid4().hex}/{name}"
 
 
+_run = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `durable` writes inside, once what is made of them is written."""
+    outer, _run.made = getattr(_run, "made", None), []
+    try:
+        yield
+    finally:
+        made, _run.made = _run.made, outer
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
@@ -58,5 +77,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if getattr(_run, "made", None) is not None:
+        _run.made.append(path.rsplit("/", 1)[0])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
