@@ -16,7 +16,7 @@ ROUNDS = 60
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -313,7 +313,7 @@ def classes(docs: DataFrame) -> DataFrame:
     bands = _bands(known.where("set_id is not null").select("set_id", "values").dropDuplicates(["set_id"]))
     mixed = F.xxhash64("set_id")
     full = bands.groupBy("band").agg(
-        F.count("*").alias("size"), F.bit_xor(mixed).alias("x"), F.sum(F.shiftright(mixed, 20)).alias("s")
+        F.count("*").alias("size"), F.bit_xor(mixed).alias("x"), F.sum(F.shiftright(mixed, 34)).alias("s")
     )
     once = full.where("size > 1").groupBy("size", "x", "s").agg(F.min("band").alias("band")).select("band", "size")
     in_bucket = bands.join(once, "band").select(F.col("band").alias("grp"), "size", "set_id")
