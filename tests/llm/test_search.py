@@ -40,7 +40,7 @@ def test_top_k_rows(spark, monkeypatch):
     x = np.round(rng.normal(size=(150, 5)), 1)
     x[::3] = x[0]  # a large group of copies
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    odd = [(900, None), (901, [1.0, None, 1, 1, 1]), (902, [float("nan")] * 5), (903, [float("inf")] * 5), (None, x[0].tolist()), (904, [1.0, 2.0]), (905, [])]
+    odd = [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0]), (902, [float("nan")] * 5), (903, [float("inf")] * 5), (None, x[0].tolist()), (904, [1.0, 2.0]), (905, [])]
     df = table(spark, rows + odd)
     got = {}
     for r in topk.top_k(df, df.where("vec_id % 10 = 0 or vec_id = 904 or vec_id = 905"), 5).collect():
