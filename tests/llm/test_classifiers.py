@@ -87,7 +87,7 @@ def test_quality_on_held_out_rows(spark, documents, prose):
 
 def test_features_do_not_depend_on_neighbours():
     texts = ["a a b\nc | d", "", "X!! Y!! z***", "one\ntwo\none\n", "é ü 123"]
-    together = quality.features(pa.array([*texts, None]))
-    alone = np.concatenate([quality.features(pa.array([t])) for t in [*texts, None]])
+    together = quality.features(pa.array([*texts, None], pa.string()))
+    alone = np.concatenate([quality.features(pa.array([t], pa.string())) for t in [*texts, None]])
     assert np.allclose(together, alone)
     assert together[0][quality.FEATURES.index("again")] > 0 and together[3][quality.FEATURES.index("same_lines")] > 0
