@@ -237,7 +237,7 @@ def append_all(stream: DataFrame, target: str, checkpoint: str) -> None:
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """T3 on the state store."""
     target, checkpoint = folders(spark, "stream_dedup")
-    ids = event_stream(spark, sf).select(textevent_post(F.col("event_id")).alias("id"))
+    ids = event_stream(spark, sf).select(text(event_post(F.col("event_id"))).alias("id"))
     append_all(dedup_stream(ids), target, checkpoint)
     return spark.read.schema("id STRING").parquet(target)
 
@@ -246,7 +246,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dedup_bounded(spark: SparkSession, sf: str) -> DataFrame:
     """T4: a delay longer than the data keeps the exact result."""
     target, checkpoint = folders(spark, "stream_dedup_bounded")
-    ids = event_stream(spark, sf).select(textevent_post(F.col("event_id")).alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    ids = event_stream(spark, sf).select(text(event_post(F.col("event_id"))).alias("id"), F.col("ts").cast("timestamp").alias("ts"))
     append_all(dedup_stream_within(ids, "ts", "60 days").select("id"), target, checkpoint)
     return spark.read.schema("id STRING").parquet(target)
 
