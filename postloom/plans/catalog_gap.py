@@ -275,8 +275,9 @@ def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "stream_heartbeat",
     """
-SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events
-GROUP BY ALL HAVING slot_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+SELECT * FROM (
+  SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events GROUP BY 1, 2)
+WHERE slot_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """,
 )
 def stream_heartbeat(spark: SparkSession, sf: str) -> DataFrame:
