@@ -186,7 +186,7 @@ class _Sender:
             yield batch(_PACKED_SCHEMA, **dict(zip(_PACKED_SCHEMA.names, map(list, zip(*rows[lo : lo + 64])))))
 
 
-_SPOTS = "doc LONG, key LONG, runs BINARY"
+_SPOTS = "key LONG, runs BINARY"
 
 
 def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
@@ -207,8 +207,7 @@ def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
             for lo in range(0, len(raw), 20_000):
                 at = starts[lo : lo + 20_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found["doc"][at]), pa.array(found["key"][at]), pa.array(raw[lo : lo + 20_000], pa.binary())],
-                    ["doc", "key", "runs"],
+                    [pa.array(found["key"][at]), pa.array(raw[lo : lo + 20_000], pa.binary())], ["key", "runs"]
                 )
 
         for b in batches:
@@ -223,7 +222,7 @@ def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
             yield from done()
 
     dealt = packed.repartition(max(8, places // TASK_PLACES), "place").sortWithinPartitions("place")
-    return dealt.mapInArrow(run, _SPOTS).groupBy("doc", "key").agg(F.collect_list("runs").alias("runs"))
+    return dealt.mapInArrow(run, _SPOTS).groupBy("key").agg(F.collect_list("runs").alias("runs"))
 
 
 _PAIR = np.dtype([("at", "<i4"), ("end", "<i4")])
@@ -240,7 +239,10 @@ def _marked(packed: list[bytes] | None, n: int, more: int) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
-    """doc_id, key (of the text), packed (the text, compressed) and rest (other columns)."""
+    """doc_id, key (of id and text), packed (the text, compressed) and rest (other columns).
+
+    The key is declared as never null: no join adds a filter, so both share one exchange.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -253,11 +255,12 @@ def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
 
     others = F.struct(F.lit(0).alias("none"), *[docs[c] for c in rest]).alias("rest")
     own = docs.select(*_keyed(docs), others)
-    return own.mapInArrow(run, T.StructType().add("doc_id", "long").add("key", "long").add("packed", "binary").add(own.schema["rest"]))
+    return own.mapInArrow(run, T.StructType().add("doc_id", "long").add("key", "long", False).add("packed", "binary").add(own.schema["rest"]))
 
 
 def _keyed(docs: DataFrame) -> list[Column]:
-    return [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("key"), docs["text"]]
+    doc_id = docs["doc_id"].cast("long")
+    return [doc_id.alias("doc_id"), F.xxhash64(doc_id, docs["text"]).alias("key"), docs["text"]]
 
 
 def _unpacked(packed: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
@@ -306,9 +309,7 @@ def dedup(docs: DataFrame, rest: list[str] | None = None, verbatim: bool = False
                     yield from out.add(hashes, np.full(len(at), ids[lo + k]), np.full(len(at), keys[lo + k]), at)
         yield from out.send()
 
-    join = lambda found, how: texts.join(
-        found, (texts["doc_id"] == found["doc"]) & (texts["key"] == found["key"]), how
-    ).select(texts["doc_id"], texts["key"], "packed", "runs", "rest")
+    join = lambda found, how: texts.join(found, "key", how).select("doc_id", "key", "packed", "runs", "rest")
     gone = _settle(join(repeated, "inner").mapInArrow(windows, _PACKED), "windows", places)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
