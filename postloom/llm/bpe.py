@@ -39,7 +39,7 @@ NONE = np.int32(2**31 - 1)
 WINDOW = 2048
 
 #: Words that a worker's memo holds before it starts anew.
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 1_000_000
 
 #: Lane widths: words are merged beside words of about their length.
 _WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 128, 256, 512, 1024, WINDOW)

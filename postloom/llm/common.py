@@ -19,7 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+
+#: Rows of an Arrow batch; texts of thousands of bytes make batches of a few megabytes.
+BATCH_ROWS = 2000
 
 #: Bytes that separate words: `[^\x20\x09-\x0D]+` is a word.
 _SPACE = np.zeros(256, bool)
@@ -30,11 +33,12 @@ _GRAM_BASE = 0xD6E8FEB86659FD93
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let the session's Python workers import this package.
+    """Let the session's Python workers import this package, in batches of `BATCH_ROWS`.
 
     Where the driver's PYTHONPATH doesn't name it already, it goes to the executors as a
     zip file over Spark's own file server, once per application.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     top = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     known = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}

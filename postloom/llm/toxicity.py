@@ -40,7 +40,7 @@ MISSPELLED, QUOTED, ABUSIVE = 0.8, 0.3, 1.3
 #: Words to each side that make the context.
 WINDOW = 8
 #: Words that a worker's memo holds before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 # Words and marks that tell a quotation or an address.
 REPORTING = frozenset("said says saying quote quoted quotes quoting wrote writes called termed reported cited".split())
