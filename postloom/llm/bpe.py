@@ -179,12 +179,12 @@ class Memo:
             slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
 
     def tokens(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of the found words end to end, and where each word's tokens end."""
+        """Tokens of the found words end to end, and how many each word has."""
         counts = place & 0xFFFFFF
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         shift = np.repeat((place >> 24) - (ends - counts), counts)
-        return self.ids[shift + np.arange(total)], ends
+        return self.ids[shift + np.arange(total)], counts
 
 
 class Encoder:
@@ -261,18 +261,17 @@ class Encoder:
         data = np.frombuffer(joined, np.uint8)
         starts, ends, at = words(data, bounds)
         hashes = word_hashes(data, starts, ends)
-        place = self.memo.find(hashes)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            keys, first = np.unique(hashes[new], return_index=True)
-            of = new[first]
-            unknown = [joined[a:b].decode() for a, b in zip(starts[of].tolist(), ends[of].tolist())]
-            if self.memo.full(len(keys)):
-                self.memo = Memo()
-                return self.encode_texts(texts) if len(keys) < MEMO_WORDS // 2 else self.encode_halves(texts)
-            self.memo.add(keys, *self.encode_words(unknown))
-            place[new] = self.memo.find(hashes[new])
-        ids, ends = self.memo.tokens(place)
+        # In runs of words that an empty memo can hold, so that any number of new words will do.
+        run = max(1, MEMO_WORDS // 4)
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(hashes), run):
+            part = slice(lo, lo + run)
+            place = self.places(joined, starts[part], ends[part], hashes[part])
+            found, many = self.memo.tokens(place)
+            ids.append(found)
+            counts.append(many)
+        ids = np.concatenate(ids)
+        ends = np.cumsum(np.concatenate(counts))
         cut = np.concatenate([[0], ends])[at]
         out = [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
         for i, text in marked.items():
@@ -283,16 +282,21 @@ class Encoder:
             )
         return out
 
-    def encode_halves(self, texts: list[str | None]) -> list[np.ndarray]:
-        """For more new words than the memo holds: halves of the list, or of one text."""
-        if len(texts) > 1:
-            k = len(texts) // 2
-            return self.encode_texts(texts[:k]) + self.encode_texts(texts[k:])
-        text = texts[0]
-        cut = text.find(" ", len(text) // 2) if text else -1
-        if cut < 0:
-            raise ValueError("a text without blanks has more words than the memo holds")
-        return [np.concatenate(self.encode_texts([text[:cut]]) + self.encode_texts([text[cut:]]))]
+    def places(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Places in the memo of the words between those bounds, put there if they are new;
+        at most `MEMO_WORDS` words."""
+        place = self.memo.find(hashes)
+        new = np.flatnonzero(place < 0)
+        keys, first = np.unique(hashes[new], return_index=True)
+        if self.memo.full(len(keys)):
+            self.memo = Memo()
+            return self.places(joined, starts, ends, hashes)
+        if len(new):
+            of = new[first]
+            unknown = [joined[a:b].decode() for a, b in zip(starts[of].tolist(), ends[of].tolist())]
+            self.memo.add(keys, *self.encode_words(unknown))
+            place[new] = self.memo.find(hashes[new])
+        return place
 
     # -- the transducer
 

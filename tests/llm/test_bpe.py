@@ -70,6 +70,15 @@ def test_memo_starts_anew(encoder, monkeypatch, library):
     assert [i.tolist() for i in small.encode_texts(texts)] == [library.encode(t).ids for t in texts]
 
 
+@pytest.mark.parametrize("blank", ["\t", "\n", "\r\n", " "])
+def test_one_text_of_more_new_words_than_the_memo_holds(monkeypatch, library, blank):
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 8)
+    small = bpe.Encoder(bpe.vocabulary(PATH))
+    small.encode_texts(["k1 k2 k3 k4 k5"])
+    texts = [blank.join(f"w{i}" for i in range(50)), None, blank.join(f"{i}" for i in range(9)) + blank]
+    assert [i.tolist() for i in small.encode_texts(texts)] == [library.encode(t or "").ids for t in texts]
+
+
 def test_rows(documents):
     rows = [(1, "Hi there"), (2, None), (3, ""), (None, "Hi there"), (1, "Hi there")]
     got = bpe.encode(documents(rows), PATH).collect()
