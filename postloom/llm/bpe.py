@@ -127,12 +127,14 @@ def lookahead(merges: list[tuple[str, str]], suffix: str = "") -> int:
 
 
 class Memo:
-    """Tokens of known words by word hash: open addressing, tokens end to end."""
+    """Tokens of known words by word hash: open addressing to a word's number, tokens end to
+    end in the order of numbers; `bounds` lie between them."""
 
     def __init__(self):
         self.bits = (2 * MEMO_WORDS - 1).bit_length()
         self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.place = np.zeros(1 << self.bits, np.int64)
+        self.place = np.zeros(1 << self.bits, np.int32)
+        self.bounds = np.zeros(MEMO_WORDS + 1, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
         self.held = 0
@@ -144,8 +146,7 @@ class Memo:
         return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """For each hash where its tokens start and how many they are (start << 24 | count),
-        or -1."""
+        """For each hash its word's number, or -1."""
         keys = np.maximum(hashes, np.uint64(1))
         slot = self._slot(keys)
         held = self.keys[slot]
@@ -164,8 +165,9 @@ class Memo:
         keys = np.maximum(hashes, np.uint64(1))
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
-        starts = self.used + np.cumsum(counts) - counts
         self.ids[self.used : self.used + len(ids)] = ids
+        self.bounds[self.held + 1 : self.held + 1 + len(keys)] = self.used + np.cumsum(counts)
+        numbers = np.arange(self.held, self.held + len(keys))
         self.used += len(ids)
         self.held += len(keys)
         slot, left = self._slot(keys), np.arange(len(keys))
@@ -174,16 +176,17 @@ class Memo:
             _, first = np.unique(slot[left[free]], return_index=True)
             put = left[free][first]
             self.keys[slot[put]] = keys[put]
-            self.place[slot[put]] = starts[put] << 24 | counts[put]
+            self.place[slot[put]] = numbers[put]
             left = left[self.keys[slot[left]] != keys[left]]
             slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
 
     def tokens(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the found words end to end, and how many each word has."""
-        counts = place & 0xFFFFFF
+        starts = self.bounds[place]
+        counts = self.bounds[place + 1] - starts
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat((place >> 24) - (ends - counts), counts)
+        shift = np.repeat(starts - (ends - counts), counts)
         return self.ids[shift + np.arange(total)], counts
 
 

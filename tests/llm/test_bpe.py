@@ -79,6 +79,14 @@ def test_one_text_of_more_new_words_than_the_memo_holds(monkeypatch, library, bl
     assert [i.tolist() for i in small.encode_texts(texts)] == [library.encode(t or "").ids for t in texts]
 
 
+def test_memo_holds_words_of_any_number_of_tokens():
+    memo, many = bpe.Memo(), (1 << 24) + 3
+    memo.add(np.array([7, 9, 11], np.uint64), np.arange(many + 3, dtype=np.int32), np.array([2, many, 1]))
+    ids, counts = memo.tokens(memo.find(np.array([11, 9, 7], np.uint64)))
+    assert counts.tolist() == [1, many, 2]
+    assert ids[:3].tolist() == [many + 2, 2, 3] and ids[-3:].tolist() == [many + 1, 0, 1]
+
+
 def test_rows(documents):
     rows = [(1, "Hi there"), (2, None), (3, ""), (None, "Hi there"), (1, "Hi there")]
     got = bpe.encode(documents(rows), PATH).collect()
