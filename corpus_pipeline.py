@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last keep the
 columns of documents. Rejected documents go; of each class of near-duplicates the document
-of smallest id stays; repeated passages are cut out of the texts; what is left is packed
+of smallest id (and text hash) stays; repeated passages are cut out of the texts; what is left is packed
 into sequences. Null and empty texts, repeated rows, null ids and further columns are
 treated as each operator's docstring says; an empty table gives an empty table.
 """
@@ -35,15 +35,20 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, that of smallest id.
+    """One document of each class of near-duplicates, that of smallest id and, among texts of
+    one id, of smallest hash.
 
-    Of rows of one id and text one stays. Rows without id stay.
+    Of rows of one id and text one stays. Rows of one id and different texts are documents
+    each. Rows without id stay.
     """
     ship(spark)
-    classes = neardup.classes(docs)
-    other = classes.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    classes = neardup.classes(docs, firsts=True)
+    other = classes.where("first <> struct(doc_id, text_id)").select(
+        F.col("doc_id").alias("_gone"), F.col("text_id").alias("_gone_text")
+    ).distinct()
     known = docs.where(docs["doc_id"].isNotNull()).withColumn("_text", F.xxhash64("text"))
-    left = known.join(other, known["doc_id"].cast("long") == other["_gone"], "left_anti")
+    same = (known["doc_id"].cast("long") == other["_gone"]) & (known["_text"] == other["_gone_text"])
+    left = known.join(other, same, "left_anti")
     return left.dropDuplicates(["doc_id", "_text"]).select(*docs.columns).union(docs.where(docs["doc_id"].isNull()))
 
 

@@ -108,17 +108,24 @@ def least_matches() -> list[int]:
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("values", pa.binary())])
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, text_ids: bool = False) -> DataFrame:
+    """doc_id, set_id and values of every row, and text_id (a hash of the text) if asked for."""
+    schema = _SKETCH.append(pa.field("text_id", pa.int64())) if text_ids else _SKETCH
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(1)):
                 part = b.slice(lo, hi - lo)
                 sets, at = shingles(part.column(1))
                 ids = pa.array(set_ids(sets, at), mask=np.diff(at) == 0)
-                yield batch(_SKETCH, doc_id=part.column(0), set_id=ids, values=[v.tobytes() for v in minhashes(sets, at)])
+                made = {"doc_id": part.column(0), "set_id": ids, "values": [v.tobytes() for v in minhashes(sets, at)]}
+                if text_ids:
+                    made["text_id"] = part.column(2)
+                yield batch(schema, **made)
 
-    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return own.mapInArrow(run, "doc_id LONG, set_id LONG, values BINARY")
+    hashed = [F.xxhash64(docs["text"]).alias("text_id")] if text_ids else []
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *hashed)
+    return own.mapInArrow(run, "doc_id LONG, set_id LONG, values BINARY" + ", text_id LONG" * text_ids)
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -296,7 +303,7 @@ def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
     return own.join(members, "doc_id").select("text", *names).mapInArrow(run, f"{kinds}, shingles BINARY")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, firsts: bool = False) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class) and n_links (other documents of
     Jaccard 0.8 or more) of every row of `docs` (doc_id, text).
 
@@ -305,10 +312,14 @@ def classes(docs: DataFrame) -> DataFrame:
     their own. Rows without doc_id count as copies of the same set only: they are linked
     with them, and have the class of the set. Repeated rows are documents each. Other
     columns are dropped; an empty table gives an empty table.
+
+    With `firsts` also text_id (`xxhash64` of the text) and first, the smallest (doc_id,
+    text_id) of the class among rows with doc_id.
     """
-    known = durable(sketches(docs), "sketches")
+    known = durable(sketches(docs, firsts), "sketches")
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_id")) if firsts else F.lit(None)
     nodes = known.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min(own).alias("first")
     )
     bands = _bands(known.where("set_id is not null").select("set_id", "values").dropDuplicates(["set_id"]))
     mixed = F.xxhash64("set_id")
@@ -333,16 +344,18 @@ def classes(docs: DataFrame) -> DataFrame:
     per_set = (
         nodes.join(linked, "set_id", "left")
         .join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-        .select("set_id", "doc_id", "copies", "others", F.coalesce("label", "set_id").alias("label"))
+        .select("set_id", "doc_id", "copies", "first", "others", F.coalesce("label", "set_id").alias("label"))
     )
-    named = per_set.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    named = per_set.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min("first").alias("class_first"))
     of_set = per_set.join(named, "label").select(
-        "set_id", "class_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+        "set_id", "class_id", "class_first", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
-    out = known.select("doc_id", "set_id").join(of_set, "set_id", "left")
+    out = known.drop("values").join(of_set, "set_id", "left")
     alone = F.col("set_id").isNull()
+    more = ["text_id", F.when(alone, own).otherwise(F.col("class_first")).alias("first")] if firsts else []
     return out.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        *more,
     )

@@ -44,6 +44,16 @@ def test_stages_follow_each_other(spark, tmp_path, prose):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == df.count()
 
 
+def test_near_copies_go_by_id_and_text(spark, documents, prose):
+    copied, own, twice = (prose(k, 120, 3000) for k in range(3))
+    rows = [(1, copied), (5, own), (5, copied + " x"), (7, own + " y"), (9, twice), (9, twice + " z"), (9, None), (9, ""), (None, own)]
+    docs = documents(rows + rows[:2])
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    nine = [t for d, t in got if d == 9 and t]
+    assert len(nine) == 1 and nine[0] in (twice, twice + " z")
+    assert got == sorted([(1, copied), (5, own), (9, nine[0]), (9, None), (9, ""), (None, own)], key=str)
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
