@@ -2,10 +2,11 @@
 
 The lexicon is learned: words of the labelled sample whose document share is much larger
 among toxic documents, weighted by the logarithm of the two shares' ratio. It is held as a
-trie. A word is looked up by running the Levenshtein automaton of the word (distance one)
-and the trie together: a branch is left as soon as all automaton states are beyond the
-distance, so misspelled terms are found in one walk. Words that the sample's harmless
-documents use themselves are no misspellings.
+trie. A word is looked up by running the Levenshtein automaton of the word and the trie
+together: a branch is left as soon as all automaton states are beyond the distance, so
+misspelled terms are found in one walk. The distance follows from the term's length, and
+two letters that changed places are one edit. Words that the sample's harmless documents
+use themselves are no misspellings.
 
 Every hit is weighed by the words around it: quotation marks around it, or a reporting word
 near it, make it a quotation; a second person near it makes it abuse. A document's sum,
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,8 +34,12 @@ LEAST_DOCS = 3
 LEAST_SHARE = 0.004
 LEAST_RATIO = 2.0
 LEAST_Z = 5.0
-#: Shorter terms are matched exactly only.
+#: Shorter terms are not looked for at one plain edit (`Trie.close`).
 LEAST_FUZZY = 5
+#: Terms from so many letters on are found at one edit, a swap of neighbours among them, and
+#: at two edits in words that hold marks or digits. Two edits turn plain words into each
+#: other too often.
+ONE_EDIT, TWO_IF_MARKED = 4, 8
 #: Weight of a misspelled term, a quoted one, one thrown at somebody.
 MISSPELLED, QUOTED, ABUSIVE = 0.8, 0.3, 1.3
 #: Words to each side that make the context.
@@ -51,6 +56,17 @@ PARTNER = {"\"": "\"", "“": "”", "«": "»", "„": "“", "‘": "’"}
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
+def reach(term: str, marked: bool) -> int:
+    """Edits that a misspelling of the term may have, in a word with or without marks."""
+    n = len(term)
+    return (n >= ONE_EDIT) + (marked and n >= TWO_IF_MARKED)
+
+
+def lessened(word: str) -> set[str]:
+    """The word less a letter."""
+    return {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
 def bare(word: str) -> str:
     """A lower-case word without marks at its ends."""
     return word if word.isalnum() else _EDGE.sub("", word)
@@ -61,17 +77,39 @@ class Trie:
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
-        self.root: dict = {}
-        for t in terms:
-            node = self.root
-            for c in t:
-                node = node.setdefault(c, {})
-            node[None] = t
+        self.root = self.branches(terms)
         long = [t for t in terms if len(t) >= LEAST_FUZZY]
         less = lambda t: {t[:i] + t[i + 1 :] for i in range(len(t))}
         self.shorter = set().union(*map(less, long)) if long else set()
         self.either = self.shorter.union(long)
         self.sizes = {len(t) + d for t in long for d in (-1, 0, 1)}
+        # By edits and marks: lengths of words that may be near, and terms by what is left of
+        # them without up to so many letters.
+        self.less: dict[tuple[int, bool], tuple[set[int], dict[str, list[str]]]] = {}
+        for marked in (False, True):
+            for edits in (1, 2):
+                sizes, less = set(), {}
+                for t in terms:
+                    if reach(t, marked) != edits:
+                        continue
+                    sizes.update(range(len(t) - edits, len(t) + edits + 1))
+                    some = all_ = {t}
+                    for _ in range(edits):
+                        some = set().union(*map(lessened, some))
+                        all_ = all_ | some
+                    for left in all_:
+                        less.setdefault(left, []).append(t)
+                self.less[edits, marked] = sizes, less
+
+    @staticmethod
+    def branches(terms: Iterable[str]) -> dict:
+        root: dict = {}
+        for t in terms:
+            node = root
+            for c in t:
+                node = node.setdefault(c, {})
+            node[None] = t
+        return root
 
     def may_be_close(self, word: str) -> bool:
         """Whether the word, or the word less a letter, is a term or a term less a letter;
@@ -86,6 +124,54 @@ class Trie:
                 return True
         return False
 
+    def candidates(self, word: str, marked: bool) -> set[str]:
+        """Terms that have a string in common with the word after as many deletions in each as
+        edits are allowed; all terms within reach are among them."""
+        out: set[str] = set()
+        for edits in (1, 2):
+            sizes, less = self.less[edits, marked]
+            if len(word) not in sizes:
+                continue
+            out.update(less.get(word, ()))
+            for i in range(len(word)):
+                left = word[:i] + word[i + 1 :]
+                if left in less:
+                    out.update(less[left])
+                if edits == 2:
+                    for other in lessened(left):
+                        out.update(less.get(other, ()))
+        return out
+
+    def near(self, word: str) -> list[str]:
+        """Terms within their own reach of the word, the word itself aside.
+
+        The automaton and the branches of the candidates run together. A state is the row of
+        edits between the branch's letters and each beginning of the word; a swap looks back
+        at the row before.
+        """
+        marked = not word.isalpha()
+        some = self.candidates(word, marked)
+        if not some:
+            return []
+        found, n, most = [], len(word), max(reach(t, marked) for t in some)
+        todo = [(self.branches(some), list(range(n + 1)), None, "")]
+        while todo:
+            node, row, prior, last = todo.pop()
+            for letter, child in node.items():
+                if letter is None:
+                    if 0 < row[n] <= reach(child, marked):
+                        found.append(child)
+                    continue
+                made = [row[0] + 1]
+                for j, c in enumerate(word, 1):
+                    edits = min(made[j - 1] + 1, row[j] + 1, row[j - 1] + (c != letter))
+                    if j > 1 and c == last and word[j - 2] == letter:
+                        edits = min(edits, prior[j - 2] + 1)
+                    made.append(edits)
+                if min(made) <= most:
+                    todo.append((child, made, row, letter))
+        return found
+
     def close(self, word: str) -> list[str]:
         """Terms (long ones) at distance one from the word.
 
@@ -146,7 +232,7 @@ class Scorer:
             return w, self.model.terms[w]
         if w in self.model.harmless:
             return None
-        near = self.trie.close(w)
+        near = self.trie.near(w)
         if not near:
             return None
         best = max(near, key=lambda t: (self.model.terms[t], t))
@@ -254,10 +340,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(terms)
         for b in batches:
-            near = [w for w in b.column(0).to_pylist() if w not in terms and trie.close(w)]
+            near = [w for w in b.column(0).to_pylist() if w not in terms and trie.near(w)]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["word"])
 
-    # At most the strings at distance one from `TERMS` terms that harmless documents repeat.
+    # At most the strings within reach of `TERMS` terms that harmless documents repeat.
     common = counts.where("n0 >= 2").select("word").mapInArrow(neighbours, "word STRING")
     model = Model(terms, {r[0] for r in common.collect()}, None)
     measured = _measured(sample, model).toPandas()

@@ -18,6 +18,35 @@ def test_close_terms_equal_brute_force():
         assert sorted(trie.close(w)) == sorted(t for t in terms if len(t) >= toxicity.LEAST_FUZZY and distance(t, w) == 1)
 
 
+def swapped_distance(a, b):
+    """Edits between a and b, swaps of neighbours among them, each place edited once."""
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def test_near_terms_equal_brute_force():
+    rng = random.Random(1)
+    terms = {"".join(rng.choice("abc") for _ in range(rng.randint(3, 11))): 1.0 for _ in range(40)}
+    trie = toxicity.Trie(terms)
+    for k in range(1500):
+        w = "".join(rng.choice("aabbcc1" if k % 2 else "abc") for _ in range(rng.randint(0, 13)))
+        want = [t for t in terms if 0 < swapped_distance(t, w) <= (len(t) >= 4) + ("1" in w and len(t) >= 8)]
+        assert sorted(trie.near(w)) == sorted(want)
+
+
+def test_swapped_and_twice_changed_terms():
+    s = toxicity.Scorer(toxicity.Model({"idiot": 2.0, "disgusting": 2.0, "scum": 2.0, "ass": 2.0}, {"sum"}, None))
+    for w in ["idoit", "d1sgust1ng", "dizgustin9", "sc*m", "csum!", "scumm"]:
+        assert 0 < s.measure(f"a {w} x")[0] < 2, w
+    for w in ["idito1", "d1sgust1n9", "sum", "scim5", "as", "asz"]:
+        assert s.measure(f"a {w} x")[0] == 0, w
+
+
 def test_context():
     s = toxicity.Scorer(toxicity.Model({"moron": 2.0}, {"maron"}, None))
     plain, thrown, quoted, said, wrong, harmless = (
