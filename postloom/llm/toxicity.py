@@ -40,6 +40,9 @@ LEAST_FUZZY = 5
 #: at two edits in words that hold marks or digits. Two edits turn plain words into each
 #: other too often.
 ONE_EDIT, TWO_IF_MARKED = 4, 8
+#: A word near a term is no misspelling if so many harmless documents hold it, as a number
+#: and as a share, and toxic ones don't hold it with a share larger by this significance.
+LEAST_CLEAN, LEAST_CLEAN_SHARE, CLEAN_Z = 2, 0.0002, 2.0
 #: Weight of a misspelled term, a quoted one, one thrown at somebody.
 MISSPELLED, QUOTED, ABUSIVE = 0.8, 0.3, 1.3
 #: Words to each side that make the context.
@@ -344,7 +347,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["word"])
 
     # At most the strings within reach of `TERMS` terms that harmless documents repeat.
-    common = counts.where("n0 >= 2").select("word").mapInArrow(neighbours, "word STRING")
+    clean = (F.col("n0") >= max(LEAST_CLEAN, LEAST_CLEAN_SHARE * n0)) & (z < CLEAN_Z)
+    common = counts.where(clean).select("word").mapInArrow(neighbours, "word STRING")
     model = Model(terms, {r[0] for r in common.collect()}, None)
     measured = _measured(sample, model).toPandas()
     x = features(measured[_MEASURED.names].to_numpy(float))

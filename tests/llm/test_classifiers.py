@@ -87,6 +87,14 @@ def test_toxicity_on_held_out_rows(spark, documents, prose):
     assert toxicity.score(documents(docs).limit(0), model).count() == 0
 
 
+def test_quoted_misspellings_stay_misspellings(spark, documents, prose):
+    docs, labels = labelled(prose)
+    more = {"vilewart": [0, 4, 8, 12, 1, 2], "vilewirt": [1, 2, 3, 5, 6, 7, 0]}
+    docs = [(d, " ".join([t, *(w for w, of in more.items() if d in of)])) for d, t in docs]
+    model = toxicity.fit(documents(docs), frame(spark, labels, "toxic"), F.lit(True))
+    assert "vilewart" not in model.terms and "vilewart" not in model.harmless and "vilewirt" in model.harmless
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, None), (None, 0)]])
 def test_labels_of_one_kind(spark, documents, labels):
     docs = documents([(1, "a"), (2, None)])
