@@ -11,6 +11,7 @@ from ..operators.stats import outcome_counters, page_stats, run_counters
 from ..runtime import durable, scratch_path
 from ..sources.envelope import (
     line_positions,
+    next_ledger,
     next_offset,
     read_lines,
     read_log,
@@ -432,16 +433,17 @@ def ordered_output(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("log_increments", PAGES_SQL + "SELECT id FROM fresh")
 def log_increments(spark: SparkSession, sf: str) -> DataFrame:
-    """Two successive scans of a log that grows and is compressed between them."""
+    """Two successive scans, the second with the first one's ledger, of a log that
+    grows and is compressed between them."""
     folder = scratch_path(spark, "task_log")
     records = durable(collect_pages(event_pages(spark, sf), no_seen(spark), F.lit(SEEN_AT)).records, "collected")
     half = F.col("block") < records.agg(F.max("block") / 2).scalar()
     write_log(records.where(half), folder, "task", "20240101T000000")
     first = read_log(spark, folder, "task")
     taken = durable(first.records, "first")
-    offset = next_offset(first)
+    offset, ledger = next_offset(first), next_ledger(first)
     compressed = scratch_path(spark, "task_log")
     write_log(records.where(half), compressed, "task", "20240101T000000", compress=True)
     write_log(records.where(~half), compressed, "task", "20240102T000000")
-    both = taken.unionByName(read_log(spark, compressed, "task", offset).records)
+    both = taken.unionByName(read_log(spark, compressed, "task", offset, ledger=ledger).records)
     return both.where("kind = 'tweet'").select(F.get_json_object("data", "$.id").alias("id"))
