@@ -431,6 +431,9 @@ def ordered_output(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(starts, "file").select("tweet_id", (F.col("start") + F.col("row") + 1).alias("n"))
 
 
+LOG_BYTES = 200_000
+
+
 @query("log_increments", PAGES_SQL + "SELECT id FROM fresh")
 def log_increments(spark: SparkSession, sf: str) -> DataFrame:
     """Two successive scans, the second with the first one's ledger, of a log that
@@ -438,12 +441,53 @@ def log_increments(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "task_log")
     records = durable(collect_pages(event_pages(spark, sf), no_seen(spark), F.lit(SEEN_AT)).records, "collected")
     half = F.col("block") < records.agg(F.max("block") / 2).scalar()
-    write_log(records.where(half), folder, "task", "20240101T000000")
+    write_log(records.where(half), folder, "task", "20240101T000000", rotate_bytes=LOG_BYTES)
     first = read_log(spark, folder, "task")
     taken = durable(first.records, "first")
     offset, ledger = next_offset(first), next_ledger(first)
     compressed = scratch_path(spark, "task_log")
-    write_log(records.where(half), compressed, "task", "20240101T000000", compress=True)
+    # Cut by size, the files hold the same lines as before.
+    write_log(records.where(half), compressed, "task", "20240101T000000", compress=True, rotate_bytes=LOG_BYTES)
     write_log(records.where(~half), compressed, "task", "20240102T000000")
     both = taken.unionByName(read_log(spark, compressed, "task", offset, ledger=ledger).records)
     return both.where("kind = 'tweet'").select(F.get_json_object("data", "$.id").alias("id"))
+
+
+ROTATE_BYTES, ROTATE_SECONDS = 20_000, 86_400
+
+
+@query(
+    "log_rotation",
+    f"""
+WITH lines AS (
+  SELECT event_id, epoch_us(ts) AS us,
+         length(CASE WHEN event_type IN ('click', 'purchase') THEN 'tweet' WHEN event_type = 'view' THEN 'include:users'
+              WHEN event_type = 'signup' THEN 'page' ELSE 'other' END) +
+         length('{{"kind":"","data":{{"id":"' || event_id || '","author_id":"' || user_id || '"}}}}') + 1 AS len
+  FROM events),
+placed AS (
+  SELECT *, sum(len) OVER (ORDER BY event_id) - len AS start,
+    (max(us) OVER (ORDER BY event_id) - first_value(us) OVER (ORDER BY event_id)) // {ROTATE_SECONDS * 1_000_000} AS slot
+  FROM lines),
+cut AS (SELECT *, (start - min(start) OVER (PARTITION BY slot)) // {ROTATE_BYTES} AS piece FROM placed)
+SELECT CAST(row_number() OVER (ORDER BY slot, piece) - 1 AS BIGINT) AS file, count(*) AS lines, CAST(sum(len) AS BIGINT) AS bytes,
+  min(event_id) AS first_id, max(event_id) AS last_id FROM cut GROUP BY slot, piece
+""",
+)
+def log_rotation(spark: SparkSession, sf: str) -> DataFrame:
+    """The files of a log that is rotated by size and by age."""
+    folder = scratch_path(spark, "rotated_log")
+    times = table(spark, sf, "events").select(F.col("event_id").alias("seq"), "ts")
+    records = event_records(spark, sf).join(times, "seq")
+    write_log(records, folder, "task", "20240101T000000", rotate_bytes=ROTATE_BYTES, rotate_seconds=ROTATE_SECONDS, at="ts")
+    lines = spark.read.option("lineSep", "\n").text(folder).select(
+        F.regexp_extract("_metadata.file_name", r"-(\d+)\.jsonl$", 1).cast("bigint").alias("file"),
+        F.octet_length("value").alias("n"),
+        F.get_json_object("value", "$.data.id").cast("bigint").alias("id"),
+    )
+    return lines.groupBy("file").agg(
+        F.count("*").alias("lines"),
+        F.sum(F.col("n") + 1).cast("bigint").alias("bytes"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+    )
