@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.clock import plus_seconds
 from ..operators.gaps import (
     connection_gaps,
     failure_rollup,
@@ -22,12 +26,16 @@ from ..streaming.jobs import (
     convert_stream,
     dedup_stream,
     dedup_stream_within,
+    end_stream,
+    flush_gaps,
     gap_stream,
     heartbeats,
     idle_sessions,
     line_stream,
+    open_ends,
     progress_stream,
     run_for,
+    with_ends,
 )
 from .catalog_flat import FLAT_SQL
 from .catalog_log import LINES_SQL
@@ -233,6 +241,20 @@ def append_all(stream: DataFrame, target: str, checkpoint: str) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def to_the_end(
+    spark: SparkSession, sf: str, lines: DataFrame, job: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
+) -> None:
+    """Run a job over the events, then once more after an end marker behind the last of them."""
+    ends = scratch_path(spark, "ends")
+    open_ends(spark, ends)
+    stream = job(with_ends(lines, ends))
+    append_all(stream, target, checkpoint)
+    last = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("ts")).head()[0]
+    if last is not None:
+        end_stream(spark, ends, last + dt.timedelta(days=1))
+        append_all(stream, target, checkpoint)
+
+
 @query("stream_dedup", f"SELECT DISTINCT CAST({EVENT_POST_SQL} AS VARCHAR) AS id FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """T3 on the state store."""
@@ -258,14 +280,13 @@ WITH m AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION B
                      THEN 0 ELSE 1 END AS opens FROM events),
 s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM m)
 SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS lines FROM s GROUP BY user_id, n
-HAVING max(ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """,
 )
 def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    """The sessions that the watermark has closed."""
+    """All sessions; those open when the events end are closed by an end marker."""
     target, checkpoint = folders(spark, "stream_sessions")
     events = event_stream(spark, sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    append_all(idle_sessions(events, "user_id", seconds=3600), target, checkpoint)
+    to_the_end(spark, sf, events, lambda lines: idle_sessions(lines, "user_id", seconds=3600), target, checkpoint)
     ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")]
     return spark.read.schema("user_id BIGINT, first_ts TIMESTAMP, last_ts TIMESTAMP, lines BIGINT").parquet(target).select(
         "user_id", *ntz, "lines"
@@ -275,16 +296,14 @@ def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "stream_heartbeat",
     """
-SELECT * FROM (
-  SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events GROUP BY 1, 2)
-WHERE slot_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+SELECT date_trunc('minute', ts) AS slot_start, event_type AS event, count(*) AS lines FROM events GROUP BY 1, 2
 """,
 )
 def stream_heartbeat(spark: SparkSession, sf: str) -> DataFrame:
-    """The slots that the watermark has closed."""
+    """All slots; those open when the events end are closed by an end marker."""
     target, checkpoint = folders(spark, "stream_heartbeat")
     events = event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("event"))
-    append_all(heartbeats(events), target, checkpoint)
+    to_the_end(spark, sf, events, heartbeats, target, checkpoint)
     read = spark.read.schema("slot_start TIMESTAMP, event STRING, lines BIGINT").parquet(target)
     return read.withColumn("slot_start", F.col("slot_start").cast("timestamp_ntz"))
 
@@ -302,17 +321,36 @@ def connection_files(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def connection_stream(spark: SparkSession, path: str) -> DataFrame:
+def connection_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     ddl = "task_name STRING, ts TIMESTAMP_NTZ, event_id BIGINT, event STRING, reason STRING"
-    return spark.readStream.schema(ddl).parquet(path)
+    return spark.readStream.schema(ddl).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def arrive_in_order(spark: SparkSession, path: str) -> None:
+    """Give the files of a folder times that follow their names, as a stream takes files by time."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().toString() for s in files.listStatus(at) if s.getPath().getName().startswith("part-"))
+    for n, name in enumerate(names):
+        files.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + 1000 * n, -1)
+
+
+ARRIVAL_SECONDS = 600
 
 
 @query("stream_gaps", GAP_SQL + "SELECT * FROM gaps")
 def stream_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    """T9"""
+    """Rows that come up to ten minutes late, in four batches or more."""
     target, checkpoint = folders(spark, "stream_gaps")
-    gap_stream(connection_stream(spark, connection_files(spark, sf)), target, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{target}/gaps").drop("batch_id")
+    path = scratch_path(spark, "late_files")
+    log = connection_log(spark, sf)
+    arrival = plus_seconds(F.col("ts"), F.pmod(F.xxhash64("event_id"), F.lit(ARRIVAL_SECONDS)))
+    log.repartitionByRange(slices(log), arrival).write.parquet(path)
+    arrive_in_order(spark, path)
+    stream = connection_stream(spark, path, max_files=max(1, slices(log) // 4))
+    gap_stream(stream, target, checkpoint, ARRIVAL_SECONDS, TIE).awaitTermination()
+    written = spark.read.parquet(f"{target}/gaps").drop("batch_id")
+    return written.unionByName(flush_gaps(spark, target, stream, TIE))
 
 
 @query("stream_progress", PROGRESS_SQL.replace("{more}", ""))

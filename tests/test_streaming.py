@@ -1,17 +1,29 @@
+import datetime as dt
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from postloom.operators import seen as seen_table
+from postloom.operators.gaps import connection_gaps
+from postloom.operators.seen import SeenTable
+
 from postloom.streaming.jobs import (
     collect_stream,
     convert_stream,
     dedup_stream_within,
+    end_stream,
+    flush_gaps,
     flush_held,
     gap_stream,
+    heartbeats,
     idle_sessions,
     line_stream,
+    open_ends,
     run_for,
+    with_ends,
 )
 
 from helpers import include, page, tweet
@@ -129,3 +141,114 @@ def test_gap_diagnostics_survive_batches(spark, tmp_path):
         df.select("task_name", F.col("t").cast("timestamp_ntz").alias("ts"), "event", "reason", "status").write.mode("append").parquet(src)
         gap_stream(spark.readStream.schema(ddl).parquet(src), target, check).awaitTermination()
     assert [r.status for r in spark.read.parquet(f"{target}/gaps").collect()] == [503]
+
+
+def id_frame(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "id STRING")
+
+
+def test_seen_table_equals_a_set(spark, tmp_path, monkeypatch):
+    for name, value in [("PARTS", 4), ("FAN", 2), ("BLOCK_IDS", 20)]:
+        monkeypatch.setattr(seen_table, name, value)
+    table, rng, held = SeenTable(spark, str(tmp_path / "seen")), random.Random(3), set()
+    for batch in range(7):
+        asked = {str(rng.randrange(300)) for _ in range(60)}
+        hits = {r.id for r in table.hits(id_frame(spark, asked), batch).collect()}
+        assert hits == asked & held and table.total(batch) == len(held)
+        new = asked - held if batch != 3 else set()  # a batch may bring nothing
+        table.add(id_frame(spark, new), batch)
+        if batch == 4:  # the same batch once more
+            table.add(id_frame(spark, new), batch)
+        held |= new
+    assert table.runs(7) == [(4, 0), (2, 4), (1, 6)] and table.total(7) == len(held)
+
+
+def test_a_probe_opens_only_what_may_hold_its_ids(spark, tmp_path):
+    table = SeenTable(spark, str(tmp_path / "seen"))
+    for batch in range(3):
+        table.add(id_frame(spark, [f"b{batch}-{i}" for i in range(3000)]), batch)
+    found = table.hits(id_frame(spark, ["b1-7"]), 3)
+    paths = {p.split("/ids/")[1].rsplit("/", 1)[0] for p in found.inputFiles() if "/ids/" in p}
+    assert [r.id for r in found.collect()] == ["b1-7"] and len(paths) == 1 and paths.pop().startswith("level=1/start=1/part=")
+    # Ids that nobody added are answered by the filters alone, but for a few.
+    fresh = id_frame(spark, [f"new{i}" for i in range(20)])
+    assert len(table.candidates(fresh, 3)) <= 3 and table.hits(fresh, 3).count() == 0
+
+
+def test_bloom_filters_let_few_others_pass(spark, tmp_path):
+    table = SeenTable(spark, str(tmp_path / "seen"))
+    table.add(id_frame(spark, [f"a{i}" for i in range(64 * 3500)]), 0)  # more than one bitmap per part
+    passed = sum(bool(table.candidates(id_frame(spark, [f"x{i}"]), 1)) for i in range(5))
+    assert passed <= 2
+    assert {r.id for r in table.hits(id_frame(spark, ["a0", "a223999", "a224000"]), 1).collect()} == {"a0", "a223999"}
+
+
+LOG_DDL = "task_name STRING, ts TIMESTAMP_NTZ, event_id BIGINT, event STRING, reason STRING"
+
+
+def shuffled_log(seed, n=240, delay=300):
+    """Rows of three tasks, and their order of arrival up to `delay` seconds late."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=20 * i + rng.randrange(20))
+        rows.append((rng.choice("abc"), at, i, rng.choice(["failed", "failed", "connected", "stopped", "keepalive"]), rng.choice(["x", "y", ""])))
+    arrival = sorted(rows, key=lambda r: r[1] + dt.timedelta(seconds=rng.randrange(delay)))
+    return rows, arrival
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_gaps_of_late_rows(spark, tmp_path, seed):
+    src, target, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    rows, arrival = shuffled_log(seed)
+    assert arrival != rows
+    for k in range(0, len(arrival), 80):
+        spark.createDataFrame(arrival[k : k + 80], LOG_DDL).coalesce(1).write.mode("append").parquet(src)
+        log = spark.readStream.schema(LOG_DDL).parquet(src)
+        gap_stream(log, target, check, 300, ("event_id",)).awaitTermination()
+    got = spark.read.parquet(f"{target}/gaps").drop("batch_id")
+    assert got.count() > 0 and spark.read.parquet(f"{target}/late").count() == 0
+    got = got.unionByName(flush_gaps(spark, target, log, ("event_id",)))
+    batch = connection_gaps(spark.createDataFrame(rows, LOG_DDL), ("event_id",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(*got.columns).collect()))
+
+
+def test_a_row_behind_the_watermark_is_kept_apart(spark, tmp_path):
+    src, target, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    feeds = [[("a", at(0), 0, "failed", "r"), ("a", at(30), 1, "connected", "")], [("a", at(5), 2, "connected", ""), ("a", None, 3, "failed", "")], []]
+    for rows in feeds:
+        spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.mode("append").parquet(src)
+        log = spark.readStream.schema(LOG_DDL).parquet(src)
+        gap_stream(log, target, check, 600, ("event_id",)).awaitTermination()
+    assert [r.event_id for r in spark.read.parquet(f"{target}/late").collect()] == [2]
+    assert [(r.start_time_utc, r.end_time_utc) for r in flush_gaps(spark, target, log, ("event_id",)).collect()] == [(at(0), at(30))]
+
+
+def test_an_end_marker_closes_what_is_open(spark, tmp_path):
+    src, ends, target, check = (str(tmp_path / n) for n in ("in", "ends", "out", "check"))
+    feed_times(spark, src, [("u", "2024-01-01 00:00:00"), ("u", "2024-01-01 00:05:00"), ("v", "2024-01-01 00:06:00")])
+    open_ends(spark, ends)
+
+    def run():
+        lines = with_ends(spark.readStream.schema("id STRING, ts TIMESTAMP").parquet(src), ends)
+        run_append(idle_sessions(lines, "id", seconds=600), target, check)
+        return sorted((r.id, r.lines) for r in spark.read.schema("id STRING, lines BIGINT").parquet(target).collect())
+
+    assert run() == []
+    end_stream(spark, ends, dt.datetime(2024, 1, 1, 0, 30))
+    assert run() == [("u", 2), ("v", 1)]
+    # The stream goes on behind its end.
+    feed_times(spark, src, [("u", "2024-01-01 01:00:00")])
+    end_stream(spark, ends, dt.datetime(2024, 1, 1, 2, 0))
+    assert run() == [("u", 1), ("u", 2), ("v", 1)]
+
+
+def test_an_end_marker_is_no_heartbeat(spark, tmp_path):
+    src, ends, target, check = (str(tmp_path / n) for n in ("in", "ends", "out", "check"))
+    feed_times(spark, src, [("u", "2024-01-01 00:00:10"), ("u", "2024-01-01 00:00:50"), (None, "2024-01-01 00:01:00")])
+    open_ends(spark, ends)
+    end_stream(spark, ends, dt.datetime(2024, 1, 1, 1, 0))
+    lines = with_ends(spark.readStream.schema("id STRING, ts TIMESTAMP").parquet(src), ends)
+    run_append(heartbeats(lines, event="id"), target, check)
+    got = spark.read.parquet(target).select("id", F.minute("slot_start").alias("m"), "lines").collect()
+    assert sorted(map(tuple, got), key=str) == [("u", 0, 2), (None, 1, 1)] or sorted(map(tuple, got), key=str) == [(None, 1, 1), ("u", 0, 2)]
