@@ -66,8 +66,15 @@ def cosines(x: np.ndarray, norms: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(1) / (norms * np.sqrt((q * q).sum()))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The vectors by a power of two that brings their largest components near one, so that no
+    square is lost; cosines stay as they are, to the last bit where squares were whole."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
 def cell(k: int):
     def run(ids, x, query_ids, q) -> Iterator:
+        x, q = scaled(x), scaled(q)
         norms, q_norms = np.sqrt((x * x).sum(1)), np.sqrt((q * q).sum(1))
         unit, q_unit = x / norms[:, None], q / q_norms[:, None]
         by = directions(x.shape[1])
@@ -110,8 +117,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     (cosine of the vectors as given). Left out on both sides: null and zero vectors,
     vectors with null or non-finite components, null ids. Vectors of another length than
     the query's, and those of its own id, are no candidates. Ties go to the smaller id;
-    repeated rows are candidates each; other columns are dropped; empty tables give no
-    rows. Every row is indexed, in the block it is dealt to.
+    repeated rows are candidates each, equal query rows are one query, different vectors under
+    one query id are queries each; other columns are dropped; empty tables give no rows. Every row is indexed, in the block it is dealt to.
     """
     some = lambda df: df.where("exists(embedding, x -> x != 0)")
     return grid.best(some(grid.usable(vectors)), some(grid.usable(queries)), k, cell(k), "DOUBLE")

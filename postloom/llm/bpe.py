@@ -38,8 +38,11 @@ NONE = np.int32(2**31 - 1)
 #: Symbols of a window; longer words are read window by window.
 WINDOW = 2048
 
-#: Words that a worker's memo holds before it starts anew.
+#: Words that a worker's memo holds before it starts anew, and bytes of the longest word that
+#: goes there. A word has no more tokens than bytes, so a quarter of that many words has at
+#: most `memo_tokens()` tokens, which is what the memo holds, whatever the texts are.
 MEMO_WORDS = 1_000_000
+LONG_WORD = 32
 
 #: Lane widths: words are merged beside words of about their length.
 _WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 128, 256, 512, 1024, WINDOW)
@@ -126,6 +129,10 @@ def lookahead(merges: list[tuple[str, str]], suffix: str = "") -> int:
     return longest
 
 
+def memo_tokens() -> int:
+    return max(1, MEMO_WORDS // 4) * LONG_WORD
+
+
 class Memo:
     """Tokens of known words by word hash: open addressing to a word's number, tokens end to
     end in the order of numbers; `bounds` lie between them."""
@@ -139,8 +146,8 @@ class Memo:
         self.used = 0
         self.held = 0
 
-    def full(self, more: int) -> bool:
-        return self.held + more > MEMO_WORDS
+    def full(self, words: int, tokens: int) -> bool:
+        return self.held + words > MEMO_WORDS or self.used + tokens > memo_tokens()
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -269,8 +276,7 @@ class Encoder:
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for lo in range(0, len(hashes), run):
             part = slice(lo, lo + run)
-            place = self.places(joined, starts[part], ends[part], hashes[part])
-            found, many = self.memo.tokens(place)
+            found, many = self.run_tokens(joined, starts[part], ends[part], hashes[part])
             ids.append(found)
             counts.append(many)
         ids = np.concatenate(ids)
@@ -285,13 +291,38 @@ class Encoder:
             )
         return out
 
+    def run_tokens(
+        self, joined: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the words between those bounds end to end, and how many each has. Short
+        words go through the memo; long ones are encoded here and forgotten."""
+        long = ends - starts > LONG_WORD
+        if not long.any():
+            return self.memo_tokens_of(joined, starts, ends, hashes)
+        short = ~long
+        ids, counts = self.memo_tokens_of(joined, starts[short], ends[short], hashes[short])
+        _, first, which = np.unique(hashes[long], return_index=True, return_inverse=True)
+        spans = zip(starts[long][first].tolist(), ends[long][first].tolist())
+        made, sizes = self.encode_words([joined[a:b].decode() for a, b in spans])
+        begin = np.cumsum(sizes) - sizes
+        many = np.empty(len(hashes), np.int64)
+        many[short], many[long] = counts, sizes[which]
+        out, of_long = np.empty(int(many.sum()), np.int32), np.repeat(long, many)
+        shift = np.repeat(begin[which] - (np.cumsum(sizes[which]) - sizes[which]), sizes[which])
+        out[~of_long], out[of_long] = ids, made[shift + np.arange(len(shift))]
+        return out, many
+
+    def memo_tokens_of(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = self.places(joined, starts, ends, hashes)
+        return self.memo.tokens(place)
+
     def places(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Places in the memo of the words between those bounds, put there if they are new;
-        at most `MEMO_WORDS` words."""
+        at most a quarter of `MEMO_WORDS` words, none of them long."""
         place = self.memo.find(hashes)
         new = np.flatnonzero(place < 0)
         keys, first = np.unique(hashes[new], return_index=True)
-        if self.memo.full(len(keys)):
+        if self.memo.held and self.memo.full(len(keys), int((ends - starts)[new[first]].sum())):
             self.memo = Memo()
             return self.places(joined, starts, ends, hashes)
         if len(new):
@@ -443,15 +474,16 @@ def vocabulary(path: str) -> bytes:
         return f.read()
 
 
-ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.large_string())])
+ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.large_string()), ("text", pa.large_string())])
 
 
 def encode(docs: DataFrame, path: str, decode: bool = True) -> DataFrame:
     """Encode `text` of every row of `docs` (doc_id, text).
 
-    Returns doc_id, n_tokens, ids (packed little-endian 32-bit numbers) and decoded (null
-    if not asked for). One row out for each row in, in the row's own task, no shuffle.
-    Null text counts as empty: no tokens, empty `decoded`. A null doc_id is kept. Repeated
+    Returns doc_id, n_tokens, ids (packed little-endian 32-bit numbers), decoded (as the
+    library decodes: token names) and text (the bytes that the tokens stand for, put together by
+    the state machine); the last two are null if not asked for. One row out for each row in, in the row's own task, no shuffle.
+    Null text counts as empty: no tokens, empty `decoded` and `text`. A null doc_id is kept. Repeated
     rows are encoded each. Other columns are dropped. An empty table gives an empty table.
     """
     source = vocabulary(path)
@@ -464,16 +496,18 @@ def encode(docs: DataFrame, path: str, decode: bool = True) -> DataFrame:
             texts = b.column(1)
             for lo, hi in chunks(texts):
                 ids = enc.encode_texts(texts.slice(lo, hi - lo).to_pylist())
-                text = None
+                names = text = [None] * len(ids)
                 if decode:
-                    text = [b"".join(dec.library(i)).decode() for i in ids]
+                    names = [b"".join(dec.library(i)).decode() for i in ids]
+                    text = ["".join(dec.text(i)) for i in ids]
                 yield batch(
                     ENCODED,
                     doc_id=b.column(0).slice(lo, hi - lo),
                     n_tokens=[len(i) for i in ids],
                     ids=[i.astype("<u4").tobytes() for i in ids],
-                    decoded=text if decode else [None] * len(ids),
+                    decoded=names,
+                    text=text,
                 )
 
-    kind = "doc_id LONG, n_tokens LONG, ids BINARY, decoded STRING"
+    kind = "doc_id LONG, n_tokens LONG, ids BINARY, decoded STRING, text STRING"
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, kind)

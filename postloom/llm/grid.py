@@ -36,27 +36,34 @@ def usable(vectors: DataFrame) -> DataFrame:
 def best(vectors: DataFrame, queries: DataFrame, k: int, cell: Cell, score: str) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best, as `cell` finds them in a
     block: larger scores first, ties to the smaller id. A vector is compared with queries
-    of its own length only, never with its own id."""
+    of its own length only, never with its own id.
+
+    Equal query rows are one query. Different vectors under one id are queries each, and
+    each has its own ranks.
+    """
+    queries = queries.dropDuplicates(["vec_id", "embedding"]).withColumn("vector", F.xxhash64("embedding"))
     v_blocks = max(1, -(-vectors.count() // VECTOR_BLOCK))
     q_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = vectors.select("dim", block(v_blocks).alias("v"), every(q_blocks).alias("q"), "vec_id", "embedding")
-    right = queries.select("dim", every(v_blocks).alias("v"), block(q_blocks).alias("q"), "vec_id", "embedding")
+    right = queries.select("dim", every(v_blocks).alias("v"), block(q_blocks).alias("q"), "vec_id", "embedding", "vector")
     number = pa.int64() if score == "LONG" else pa.float64()
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        q, i, s = [], [], []
+        q, h, i, s = [], [], [], []
         if a.num_rows and b.num_rows:
-            query_ids = b["vec_id"].to_numpy()
+            query_ids, kinds = b["vec_id"].to_numpy(), b["vector"].to_numpy()
             for at, ids, scores in cell(a["vec_id"].to_numpy(), _matrix(a), query_ids, _matrix(b)):
                 q.append(np.full(len(ids), query_ids[at]))
+                h.append(np.full(len(ids), kinds[at]))
                 i.append(ids)
                 s.append(scores)
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return pa.table(
             {
                 "query_id": pa.array(join(q), pa.int64()),
+                "vector": pa.array(join(h), pa.int64()),
                 "vec_id": pa.array(join(i), pa.int64()),
                 "score": pa.array(join(s).astype(np.int64 if score == "LONG" else np.float64), number),
             }
@@ -65,9 +72,9 @@ def best(vectors: DataFrame, queries: DataFrame, k: int, cell: Cell, score: str)
     found = (
         left.groupBy("dim", "v", "q")
         .cogroup(right.groupBy("dim", "v", "q"))
-        .applyInArrow(run, f"query_id LONG, vec_id LONG, score {score}")
+        .applyInArrow(run, f"query_id LONG, vector LONG, vec_id LONG, score {score}")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -41,6 +41,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("text_sha256"),
     )
 
 

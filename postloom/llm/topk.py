@@ -99,6 +99,8 @@ def cell(k: int):
     def run(ids, vectors, query_ids, query_vectors) -> Iterator:
         x, q = quantized(vectors), quantized(query_vectors)
         top = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1])
+        if top >= 2**63:
+            raise OverflowError("a score may need more than 63 bits")
         if top >= 2**53:  # beyond what doubles hold exactly
             x, q = x.astype(np.int64), q.astype(np.int64)
         return search(Lists(x, ids), query_ids, q, k)
@@ -113,7 +115,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Returns query_id, rank (from 1), vec_id and score (long). Left out on both sides: null
     vectors, vectors with null or non-finite components, null ids. Vectors of another
     length than the query's, and those of its own id, are no candidates. Ties go to the
-    smaller id; repeated rows are candidates each. Other columns are dropped; empty tables
-    give no rows; an empty vector scores 0. Scores must fit into 63 bits.
+    smaller id; repeated rows are candidates each, equal query rows are one query, different
+    vectors under one query id are queries each. Other columns are dropped; empty tables give no
+    rows; an empty vector scores 0. Components whose scores may need more than 63 bits are an error.
     """
     return grid.best(grid.usable(vectors), grid.usable(queries), k, cell(k), "LONG")

@@ -95,3 +95,24 @@ def test_rows(documents):
     )
     assert {bytes(r.ids) for r in got if r.n_tokens} == {np.array(Tokenizer.from_file(PATH).encode("hi there").ids, "<u4").tobytes()}
     assert bpe.encode(documents(rows[:0] or [(0, "")]).limit(0), PATH).count() == 0
+
+
+def test_texts_without_blanks_leave_the_memo_small(monkeypatch, library):
+    """The memo holds a bounded number of tokens whatever comes; ids stay the library's."""
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 400)
+    rng = random.Random(8)
+    small = bpe.Encoder(bpe.vocabulary(PATH))
+    word = lambda n: "".join(rng.choices("abcdefghij+/ÄÖ中文", k=n))
+    for _ in range(40):
+        texts = [word(rng.choice([3, 20, 31, 33, 700])) for _ in range(5)] + ["a bc " + word(40) + " bc", " ".join(word(12) for _ in range(300))]
+        texts.append(f"{texts[0]} {texts[0]} x")
+        got = [i.tolist() for i in small.encode_texts(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert small.memo.held <= 400 and small.memo.used <= bpe.memo_tokens()
+        assert len(small.memo.ids) <= 2 * max(bpe.memo_tokens(), 1 << 16)
+
+
+def test_state_machine_gives_the_text_back(documents, encoder):
+    text = "grüße  an 一二\tok, don't" + "é" * 3000
+    row = bpe.encode(documents([(1, text)]), PATH).collect()[0]
+    assert row.text.replace(" ", "") == "".join(text.lower().split())

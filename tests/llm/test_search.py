@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from postloom.llm import ann, grid, topk
 
@@ -90,3 +91,35 @@ def test_tree_holds_every_point():
     leaves, low, high = ann.tree(points, 16)
     assert sorted(np.concatenate(leaves).tolist()) == list(range(350))
     assert all((points[r] >= low[i]).all() and (points[r] <= high[i]).all() for i, r in enumerate(leaves))
+
+
+def ranked(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(float(r.score), 9)))
+    return {q: sorted(rows) for q, rows in out.items()}
+
+
+def test_repeated_and_conflicting_query_rows(spark, monkeypatch):
+    monkeypatch.setattr(grid, "VECTOR_BLOCK", 30)
+    monkeypatch.setattr(grid, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(120, 6))
+    vectors = table(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    one = [(0, x[0].tolist()), (50, x[50].tolist())]
+    other = (50, x[3].tolist())
+    for search, score in [(topk.top_k, lambda q: np.floor(256 * x) @ np.floor(256 * q)), (ann.nearest, lambda q: x @ q / np.linalg.norm(x, axis=1) / np.linalg.norm(q))]:
+        once = ranked(search(vectors, table(spark, one), 5))
+        assert ranked(search(vectors, table(spark, one + one[:1] * 3), 5)) == once
+        assert [i for _, i, _ in once[0]] == [i for i, _ in best(np.arange(120), score(x[0]), 5, 0)]
+        both = ranked(search(vectors, table(spark, [*one, other]), 5))[50]
+        want = [i for q in (x[50], x[3]) for i, _ in best(np.arange(120), score(q), 5, 50)]
+        assert sorted(i for _, i, _ in both) == sorted(want) and [k for k, _, _ in both] == sorted([1, 2, 3, 4, 5] * 2)
+
+
+def test_tiny_components_and_large_scores(spark):
+    df = table(spark, [(0, [1e-170, 2e-170]), (1, [1e-170, 2.1e-170]), (2, [1e170, -1e170])])
+    got = {(r.query_id, r.vec_id): r.score for r in ann.nearest(df, df, 5).collect()}
+    assert abs(got[0, 1] - 5.2 / (5 * (1 + 2.1**2)) ** 0.5) < 1e-12 and abs(got[0, 2] + 1 / 10**0.5) < 1e-12
+    with pytest.raises(Exception, match="63 bits"):
+        topk.top_k(df, df, 5).collect()
