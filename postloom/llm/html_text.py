@@ -6,7 +6,9 @@ passes points for its length and commas to its ancestors, in full to the parent,
 the grandparent, a third of that and so on above, less its link density. The best
 container, discounted by its own link density, is kept with those siblings that score well
 or are plain paragraphs; a container inside an `article` element stands for that element.
-Lists and boxes in it that are mostly links go.
+Lists and boxes in it that are mostly links go. Points reach `LEVELS` ancestors. If nothing is
+left of a page, it is read again with only those parts gone that are never shown: its article
+may stand in a form, or under a name that elsewhere means an advert.
 
 A page is one row and one value, so pages are scored side by side with no shuffle.
 """
@@ -48,6 +50,7 @@ NEVER = RAW | frozenset(
     "head nav footer aside form button input select option datalist dialog menu svg math canvas audio video object"
     " embed applet map fieldset legend label output progress meter search".split()
 )
+NEVER_SHOWN = RAW | frozenset("head nav select option datalist svg math canvas audio video object embed applet map".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split()
 )
@@ -68,13 +71,19 @@ BASE = {
     "h1": -5, "h2": -5, "h3": -5, "h4": -5, "h5": -5, "h6": -5, "th": -5,
 }
 
+# As HTML reads marks: a quote opens a value only behind an equals sign, `<!-->` is a whole
+# comment, and a mark that the page's end cuts off is none. Possessive, so that nothing is read twice.
 _MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)", re.S
+)
+_ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+# What a layout has or lacks says nothing of the element itself.
+_LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without)[-_]\S+", re.I)
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
+#: Ancestors that a paragraph's points reach; the seventh would get a twenty-first of them.
 LEVELS = 6
 
 
@@ -93,19 +102,23 @@ def parse(page: str) -> Node:
     root = Node("html", "", None)
     here, at = root, 0
     depth_open: list[Node] = [root]
+    # Places of each tag in the open stack, so that finding one doesn't walk it.
+    places: dict[str, list[int]] = {"html": [0]}
 
     def close_to(k: int) -> None:
         nonlocal here
+        for node in depth_open[k:]:
+            places[node.tag].pop()
         del depth_open[k:]
         here = depth_open[-1]
 
+    def last(tags: frozenset) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def find(tags: frozenset, stop: frozenset) -> int:
-        for k in range(len(depth_open) - 1, 0, -1):
-            if depth_open[k].tag in tags:
-                return k
-            if depth_open[k].tag in stop:
-                return 0
-        return 0
+        """The innermost open element of those tags, if it is not outside of a stop; or 0."""
+        k = last(tags)
+        return k if k and k >= last(stop) else 0
 
     while True:
         m = _MARK.search(page, at)
@@ -115,7 +128,7 @@ def parse(page: str) -> Node:
         if m.start() > at:
             here.children.append(page[at : m.start()])
         at = m.end()
-        if m[2] is None:
+        if m[2] is None or page[at - 1] != ">":
             continue
         tag = m[2].lower()
         if m[1]:
@@ -146,37 +159,40 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        places.setdefault(tag, []).append(len(depth_open))
         depth_open.append(node)
         here = node
 
 
-def unwanted(node: Node, in_article: bool) -> bool:
+def unwanted(node: Node, in_article: bool, again: bool = False) -> bool:
+    """Whether a node is no part of an article; the second time, only if it is never shown."""
     tag = node.tag
-    if tag in NEVER:
+    if tag in (NEVER_SHOWN if again else NEVER):
         return True
-    if tag == "header" and not in_article:
+    if tag == "header" and not in_article and not again:
         return True
     if not node.attrs or node.attrs.isspace():
         return False
     attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(node.attrs)}
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
         return True
-    if tag in KEPT:
+    if tag in KEPT or again:
         return False
     if attrs.get("role", "").lower() in ROLES:
         return True
-    words = {w.lower() for w in _NAME_WORDS.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
+    names = _LAYOUT.sub("", f"{attrs.get('class', '')} {attrs.get('id', '')}")
+    words = {w.lower() for w in _NAME_WORDS.findall(names)}
     return bool(words & UNWANTED or words & MAYBE and not words & WANTED and not in_article)
 
 
-def measure(root: Node) -> list[Node]:
+def measure(root: Node, again: bool = False) -> list[Node]:
     """Mark what goes, count text and link text of the rest; nodes in page order."""
     order: list[Node] = []
     todo: list[tuple[Node, bool, bool]] = [(root, False, False)]
     inside_link: dict[int, bool] = {}
     while todo:
         node, in_article, in_link = todo.pop()
-        if node is not root and unwanted(node, in_article):
+        if node is not root and unwanted(node, in_article, again):
             node.drop = True
             continue
         in_article = in_article or node.tag in ("article", "main")
@@ -276,7 +292,11 @@ def main_text(page: str | None) -> str:
     """The article's text: references decoded, blanks and line breaks as one blank."""
     if not page:
         return ""
-    order = measure(parse(page.replace("\0", "")))
+    return _article(page, False) or _article(page, True)
+
+
+def _article(page: str, again: bool) -> str:
+    order = measure(parse(page.replace("\0", "")), again)
     kept = container(order)
     for node in order:
         if node.tag in ("ul", "ol", "dl", "table", "div", "section") and node.links and density(node) > 0.5:

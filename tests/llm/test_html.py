@@ -1,4 +1,10 @@
-from postloom.llm.html_text import extract, main_text
+import random
+import time
+from html.parser import HTMLParser
+
+import pytest
+
+from postloom.llm.html_text import VOID, extract, main_text, parse, text_of
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>if (a < b) "</p>"</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a><li><a href="/x">Menu</a></ul></nav>
@@ -36,3 +42,63 @@ def test_rows(spark):
     df = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING").selectExpr("*", "'t' AS text", "3 AS n_chars")
     assert sorted(extract(df).collect(), key=str) == sorted([(1, "u", TEXT), (2, None, ""), (None, "v", ""), (1, "u", TEXT)], key=str)
     assert extract(df.limit(0)).count() == 0
+
+
+STORY = "<p>A story, long enough, with commas, to be one of those that are told.</p>"
+TOLD = "A story, long enough, with commas, to be one of those that are told."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title=don't>one</p><p title='a>b' x=\"c>d\">two</p>", "one two"),
+        ("<p a=\"b\"c='d'>x</p>", "x"),
+        ("<!-->shown <!-- not --><!--->too<!-- a --!> end", "shown too end"),
+        ("<p>a</p><!-- open", "a"),
+        ("<p>a</p><b title='x", "a"),
+        (f"<form action=/x><div>{STORY}</div></form>", TOLD),
+        (f"<body><div class='content has-sidebar'>{STORY}</div><div class=sidebar>{STORY}</div>", TOLD),
+        (f"<div class=elementor-widget-container>{STORY}</div>", TOLD),
+        ("<p>1 < 2 <3</p>", "1 < 2 <3"),
+    ],
+)
+def test_marks_and_wrappers(page, text):
+    assert main_text(page) == text
+
+
+def test_many_elements_and_open_quotes_take_seconds():
+    begin = time.perf_counter()
+    assert main_text("<div>" * 200_000 + "deep") == "deep"
+    assert main_text("<p><table><tr><td>" + "<div>" * 50_000 + "deep") == "deep"
+    assert main_text("<a b='" * 60_000 + '<a b="' * 60_000) == ""
+    assert main_text("<li><b>" * 50_000 + "x").startswith("x")
+    assert time.perf_counter() - begin < 30
+
+
+class Plain(HTMLParser):
+    """Text of a page by the standard reader; scripts and styles are left out by the pages."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.text = []
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+
+def test_all_text_equals_that_of_another_reader():
+    rng = random.Random(4)
+    tags = ["p", "div", "b", "i", "span", "ul", "li", "table", "tr", "td", "br", "img", "h2", "blockquote"]
+    attrs = ["", " a=b", " a='x > y'", ' a="&lt;"', " x=don't", " hidden2", " a = 'b'"]
+    for _ in range(300):
+        page = []
+        for _ in range(rng.randrange(1, 40)):
+            tag = rng.choice(tags)
+            kind = rng.randrange(5)
+            page.append(f"<{tag}{rng.choice(attrs)}>" if kind < 2 else f"</{tag}>" if kind == 2 and tag not in VOID else rng.choice(["x ", "&amp;", "y&eacute; ", "<!-- n -->", "&#65;"]))
+        page = "".join(page)
+        plain = Plain()
+        plain.feed(page)
+        plain.close()
+        mine = "".join(t for t in text_of(parse(page)))
+        assert "".join(mine.split()) == "".join("".join(plain.text).split()), page
