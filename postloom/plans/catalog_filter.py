@@ -38,6 +38,7 @@ from ..operators.filters import (
 )
 from ..operators.rules import reconcile_rules
 from ..operators.stats import rules_response, usage_summary
+from ..operators.tails import tail_filter
 from .registry import query
 from .views import document_posts, table, text
 
@@ -66,6 +67,21 @@ def post_filters(spark: SparkSession, sf: str) -> DataFrame:
     return document_posts(spark, sf).where(post_filter("en", exclude_replies=True)).select("id")
 
 
+TAIL = 'lang:en -is:reply ("of the" OR heed -(is:retweet and))'
+
+
+@query(
+    "tail_filter",
+    rf"""
+SELECT doc_id AS id FROM documents WHERE lang = 'en' AND doc_id % 5 <> 2 AND (regexp_matches(text, '(?i){B}of\s+the{E}')
+  OR regexp_matches(text, '(?i){B}heed{E}') AND NOT (doc_id % 5 = 0 AND regexp_matches(text, '(?i){B}and{E}')))
+""",
+)
+def tail_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: a tail as free text."""
+    return document_posts(spark, sf).where(tail_filter(TAIL)).select("id")
+
+
 @query(
     "time_range",
     """

@@ -7,7 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..operators.dedup import already_seen, dedup_logs, first_seen, merge_logs, new_seen, seen_count, unseen
 from ..operators.limits import cutoff_pages, page_limit
 from ..operators.order import ORDER, last_known_kind, segment_records
-from ..operators.stats import outcome_counters, page_stats, run_counters
+from ..operators.stats import (
+    SKETCH_ERROR,
+    estimated_ids,
+    id_sketches,
+    merged_sketches,
+    outcome_counters,
+    page_stats,
+    run_counters,
+)
 from ..runtime import durable, scratch_path
 from ..sources.envelope import (
     line_positions,
@@ -255,6 +263,27 @@ def count_seen(spark: SparkSession, sf: str) -> DataFrame:
     return seen_count(seen_items(spark, sf))
 
 
+@query(
+    "seen_estimate",
+    ITEMS_SQL
+    + """
+SELECT flag, count(DISTINCT id) AS ids, true AS within_bound FROM items GROUP BY flag
+UNION ALL SELECT 'all', count(DISTINCT id), true FROM items
+""",
+)
+def estimate_seen(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A2: sketches per flag, merged for the whole, beside the exact numbers."""
+    items = table(spark, sf, "lineitem").select(
+        F.concat(text(F.col("l_orderkey")), F.lit("-"), text(F.col("l_linenumber"))).alias("id"), F.col("l_returnflag").alias("flag")
+    )
+    sketches = durable(id_sketches(items, ["flag"]), "sketches")
+    merged = merged_sketches(sketches, []).select(F.lit("all").alias("flag"), "sketch")
+    told = estimated_ids(sketches.unionByName(merged)).withColumnRenamed("ids", "told")
+    counted = items.unionByName(items.withColumn("flag", F.lit("all"))).groupBy("flag").agg(F.count_distinct("id").alias("ids"))
+    close = F.abs(F.col("told") - F.col("ids")) <= F.greatest(3 * SKETCH_ERROR * F.col("ids"), F.lit(1.0))
+    return counted.join(told, "flag").select("flag", "ids", close.alias("within_bound"))
+
+
 @query(
     "seen_insert",
     ITEMS_SQL

@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clock import choose_endpoint
 from ..operators.intervals import window_join
 from ..operators.stats import cap_reached
+from ..runtime import scratch_path
+from ..sources.state_table import StateTable
 from ..sources.states import collector_states, stream_states
 from .registry import query
 from .tasks import normalize_search_tasks, normalize_stream_tasks, page_size
 from .views import table, text
-from .windows import resolve_windows, resume_decisions, reuse_stream_state, roll_forward
+from .windows import resolve_windows, resume_decisions, reuse_stream_state, roll_forward, rolled_rows
 
 AS_OF = "2024-02-01 00:00:00.5"
 
@@ -159,8 +161,7 @@ def resume_decision(spark: SparkSession, sf: str) -> DataFrame:
     return resume_decisions(planned_tasks(spark, sf), saved_runs(spark, sf)).select("task_name", "action", "resume_token")
 
 
-@query(
-    "state_roll_forward",
+ROLLED_SQL = (
     RESUME_SQL
     + """
 SELECT task_name, CASE WHEN action IN ('resume', 'continue') THEN pages ELSE 0 END + 2 AS page_count,
@@ -173,14 +174,14 @@ FROM decided WHERE error IS NULL AND action IN ('fresh', 'resume', 'continue')
 UNION ALL
 SELECT task_name, pages, total, token, finished, why, c * 10, false
 FROM decided WHERE error IS NULL AND rc IS NOT NULL AND action LIKE 'skip%'
-""",
+"""
 )
-def state_roll(spark: SparkSession, sf: str) -> DataFrame:
-    """X3"""
-    saved = saved_runs(spark, sf)
-    decided = resume_decisions(planned_tasks(spark, sf), saved)
+
+
+def run_results(decided: DataFrame) -> DataFrame:
+    """What the tasks that ran brought."""
     c = F.col("task_name").cast("bigint")
-    results = decided.where("not startswith(action, 'skip')").select(
+    return decided.where("not startswith(action, 'skip')").select(
         "task_name",
         F.lit(2).alias("pages"),
         (c % 7).alias("posts"),
@@ -189,12 +190,33 @@ def state_roll(spark: SparkSession, sf: str) -> DataFrame:
         F.when(c % 4 == 2, "usage_cap_reached").otherwise("").alias("stop_reason"),
         F.lit(AS_OF).alias("finished_at"),
     )
-    return roll_forward(decided, saved, results).select(
+
+
+@query("state_roll_forward", ROLLED_SQL)
+def state_roll(spark: SparkSession, sf: str) -> DataFrame:
+    """X3"""
+    saved = saved_runs(spark, sf)
+    decided = resume_decisions(planned_tasks(spark, sf), saved)
+    return roll_forward(decided, saved, run_results(decided)).select(
         "task_name", "page_count", "total_tweets", "next_token", "completed", "stop_reason",
         "converted_jsonl_offset", "truncated",
     )
 
 
+@query("state_upsert", ROLLED_SQL)
+def state_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by merging the tasks that ran into a table with versions."""
+    columns = ("page_count", "total_tweets", "next_token", "completed", "stop_reason", "converted_jsonl_offset", "truncated")
+    saved = saved_runs(spark, sf).withColumn("truncated", F.lit(False))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in saved.schema)
+    table_ = StateTable(spark, scratch_path(spark, "states"), ddl)
+    table_.merge(saved, 0)
+    states, version = table_.read()
+    decided = resume_decisions(planned_tasks(spark, sf), states)
+    table_.merge(rolled_rows(decided, states, run_results(decided)).select(*states.columns), version)
+    return table_.read()[0].select("task_name", *columns)
+
+
 @query(
     "stream_state_reuse",
     """

@@ -123,13 +123,12 @@ def resume_decisions(planned: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
-def roll_forward(decisions: DataFrame, states: DataFrame, results: DataFrame) -> DataFrame:
-    """The state table after a run.
+def rolled_rows(decisions: DataFrame, states: DataFrame, results: DataFrame) -> DataFrame:
+    """The new state rows of the tasks that ran.
 
     `results` has one row per task that ran: `task_name, pages, posts, includes,
     next_token, stop_reason, finished_at`. A fresh run starts its counters anew but keeps
-    the conversion offset. Tasks that did not run keep their row. `truncated` marks runs
-    that completed without seeing every page.
+    the conversion offset. `truncated` marks runs that completed without seeing every page.
     """
     ran = decisions.where("error is null").join(results, "task_name")
     old = states.select("task_name", F.struct(*states.columns).alias("s"))
@@ -140,7 +139,7 @@ def roll_forward(decisions: DataFrame, states: DataFrame, results: DataFrame) ->
         return (before + F.col(new)).cast("bigint").alias(name)
 
     cut = F.col("r_reason").isin("invalid_pagination_token", "usage_cap_reached")
-    fresh = (
+    return (
         ran.withColumnsRenamed({"stop_reason": "r_reason", "next_token": "r_token"})
         .join(old, "task_name", "left")
         .select(
@@ -163,6 +162,11 @@ def roll_forward(decisions: DataFrame, states: DataFrame, results: DataFrame) ->
             cut.alias("truncated"),
         )
     )
+
+
+def roll_forward(decisions: DataFrame, states: DataFrame, results: DataFrame) -> DataFrame:
+    """The state table after a run. Tasks that did not run keep their row."""
+    fresh = rolled_rows(decisions, states, results)
     idle = states.join(fresh.select("task_name"), "task_name", "left_anti")
     return fresh.unionByName(idle, allowMissingColumns=True).na.fill({"truncated": False})
 
