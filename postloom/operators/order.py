@@ -116,10 +116,12 @@ def segments_of(records: DataFrame, valve: int | None = None) -> DataFrame:
     """Order key, `segment` and `part` of every record that has a scope; no payloads.
 
     Only the order key, the kind and whether there is a payload are shuffled, once, by
-    split; everything else runs on one row per split. `valve` (W3) starts a new part
+    split; everything else runs on one row per split. Records that were written with a column
+    `has_data` are read without their payloads. `valve` (W3) starts a new part
     after so many posts of a segment; those then don't see what follows. Off by default.
     """
-    records = records.select(*ORDER, "kind", F.col("data").isNotNull().alias("has_data"))
+    has_data = F.col("has_data") if "has_data" in records.columns else F.col("data").isNotNull()
+    records = records.select(*ORDER, "kind", has_data.alias("has_data"))
     local = Window.partitionBy(*SPLIT).orderBy("seq")
     running = local.rowsBetween(Window.unboundedPreceding, 0)
     backwards = Window.partitionBy(*SPLIT).orderBy(F.col("seq").desc())
