@@ -20,14 +20,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """At most `rows` documents with their label (doc_id, text, label), written once.
 
     `learn` says of a label row (doc_id) whether it may be learned from. The sampled ids
-    number at most `rows` and are broadcast, so texts are not shuffled.
+    number at most `rows` and are broadcast, so only the sample's texts are shuffled, and it
+    lies in many tasks. Of several texts under one id the smallest counts.
     """
     l = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))  # noqa: E741
     known = l.where(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     some = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return durable(d.join(F.broadcast(some), "doc_id").limit(rows), "sample")
+    texts = d.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return durable(texts.select("doc_id", "text", "label"), "sample")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:

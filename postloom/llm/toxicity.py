@@ -2,11 +2,12 @@
 
 The lexicon is learned: words of the labelled sample whose document share is much larger
 among toxic documents, weighted by the logarithm of the two shares' ratio. It is held as a
-trie. A word is looked up by running the Levenshtein automaton of the word and the trie
-together: a branch is left as soon as all automaton states are beyond the distance, so
-misspelled terms are found in one walk. The distance follows from the term's length, and
-two letters that changed places are one edit. Words that the sample's harmless documents
-use themselves are no misspellings.
+trie. A word is looked up by running the word's Levenshtein automaton and the trie together: a
+state is a node of the trie, the letters of the word read, and the edits made. Without an edit
+left only the branch of the word's remaining letters can be taken, so a walk leaves most
+branches at once. The distance follows from the term's length, and two letters that
+changed places are one edit. Words that the sample's harmless documents use themselves are
+no misspellings.
 
 Every hit is weighed by the words around it: quotation marks around it, or a reporting word
 near it, make it a quotation; a second person near it makes it abuse. A document's sum,
@@ -24,18 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..runtime import durable
 from .common import batch, chunks
 from .learning import TRAIN_ROWS, labelled_sample, logistic, sigmoid
 
-#: Terms of the lexicon at most; toxic documents that must hold a term, as a number and as a
-#: share; its least log ratio and significance.
-TERMS = 1000
+#: Toxic documents that must hold a term, as a number and as a share (so their number is bounded
+#: by the sample's words), its least log ratio and significance.
 LEAST_DOCS = 3
 LEAST_SHARE = 0.004
 LEAST_RATIO = 2.0
 LEAST_Z = 5.0
-#: Shorter terms are not looked for at one plain edit (`Trie.close`).
-LEAST_FUZZY = 5
 #: Terms from so many letters on are found at one edit, a swap of neighbours among them, and
 #: at two edits in words that hold marks or digits. Two edits turn plain words into each
 #: other too often.
@@ -65,11 +64,6 @@ def reach(term: str, marked: bool) -> int:
     return (n >= ONE_EDIT) + (marked and n >= TWO_IF_MARKED)
 
 
-def lessened(word: str) -> set[str]:
-    """The word less a letter."""
-    return {word[:i] + word[i + 1 :] for i in range(len(word))}
-
-
 def bare(word: str) -> str:
     """A lower-case word without marks at its ends."""
     return word if word.isalnum() else _EDGE.sub("", word)
@@ -78,31 +72,15 @@ def bare(word: str) -> str:
 class Trie:
     """Terms by letters; each node is a dict, a term ends where None is a key."""
 
-    def __init__(self, terms: dict[str, float]):
-        self.terms = terms
-        self.root = self.branches(terms)
-        long = [t for t in terms if len(t) >= LEAST_FUZZY]
-        less = lambda t: {t[:i] + t[i + 1 :] for i in range(len(t))}
-        self.shorter = set().union(*map(less, long)) if long else set()
-        self.either = self.shorter.union(long)
-        self.sizes = {len(t) + d for t in long for d in (-1, 0, 1)}
-        # By edits and marks: lengths of words that may be near, and terms by what is left of
-        # them without up to so many letters.
-        self.less: dict[tuple[int, bool], tuple[set[int], dict[str, list[str]]]] = {}
-        for marked in (False, True):
+    def __init__(self, terms: Iterable[str]):
+        # One trie for each number of edits that words, with marks or without, may need.
+        self.roots: dict[bool, list[tuple[int, dict, int, int, int]]] = {False: [], True: []}
+        for marked, roots in self.roots.items():
             for edits in (1, 2):
-                sizes, less = set(), {}
-                for t in terms:
-                    if reach(t, marked) != edits:
-                        continue
-                    sizes.update(range(len(t) - edits, len(t) + edits + 1))
-                    some = all_ = {t}
-                    for _ in range(edits):
-                        some = set().union(*map(lessened, some))
-                        all_ = all_ | some
-                    for left in all_:
-                        less.setdefault(left, []).append(t)
-                self.less[edits, marked] = sizes, less
+                some = [t for t in terms if reach(t, marked) == edits]
+                if some:
+                    sizes, letters = [len(t) for t in some], min(sum(map(str.isalpha, t)) for t in some)
+                    roots.append((edits, self.branches(some), min(sizes) - edits, max(sizes) + edits, letters - edits))
 
     @staticmethod
     def branches(terms: Iterable[str]) -> dict:
@@ -114,105 +92,49 @@ class Trie:
             node[None] = t
         return root
 
-    def may_be_close(self, word: str) -> bool:
-        """Whether the word, or the word less a letter, is a term or a term less a letter;
-        every word at distance one is such a word, and the walk tells which."""
-        if len(word) not in self.sizes:
-            return False
-        if word in self.shorter:
-            return True
-        either = self.either
-        for i in range(len(word)):
-            if word[:i] + word[i + 1 :] in either:
-                return True
-        return False
-
-    def candidates(self, word: str, marked: bool) -> set[str]:
-        """Terms that have a string in common with the word after as many deletions in each as
-        edits are allowed; all terms within reach are among them."""
-        out: set[str] = set()
-        for edits in (1, 2):
-            sizes, less = self.less[edits, marked]
-            if len(word) not in sizes:
-                continue
-            out.update(less.get(word, ()))
-            for i in range(len(word)):
-                left = word[:i] + word[i + 1 :]
-                if left in less:
-                    out.update(less[left])
-                if edits == 2:
-                    for other in lessened(left):
-                        out.update(less.get(other, ()))
-        return out
-
     def near(self, word: str) -> list[str]:
-        """Terms within their own reach of the word, the word itself aside.
-
-        The automaton and the branches of the candidates run together. A state is the row of
-        edits between the branch's letters and each beginning of the word; a swap looks back
-        at the row before.
-        """
-        marked = not word.isalpha()
-        some = self.candidates(word, marked)
-        if not some:
-            return []
-        found, n, most = [], len(word), max(reach(t, marked) for t in some)
-        todo = [(self.branches(some), list(range(n + 1)), None, "")]
+        """Terms within their own reach of the word, the word itself aside."""
+        marked, n, found = not word.isalpha(), len(word), set()
+        letters = sum(map(str.isalpha, word)) if marked else n
+        for edits, root, shortest, longest, least in self.roots[marked]:
+            if shortest <= n <= longest and letters >= least:
+                self._walk(root, word, edits, found)
+        found.discard(word)
+        return list(found)
+
+    @staticmethod
+    def _walk(root: dict, word: str, most: int, found: set[str]) -> None:
+        """Add the terms that the automaton accepts with `most` edits or fewer."""
+        n = len(word)
+        todo = [(root, 0, 0)]
         while todo:
-            node, row, prior, last = todo.pop()
-            for letter, child in node.items():
-                if letter is None:
-                    if 0 < row[n] <= reach(child, marked):
-                        found.append(child)
-                    continue
-                made = [row[0] + 1]
-                for j, c in enumerate(word, 1):
-                    edits = min(made[j - 1] + 1, row[j] + 1, row[j - 1] + (c != letter))
-                    if j > 1 and c == last and word[j - 2] == letter:
-                        edits = min(edits, prior[j - 2] + 1)
-                    made.append(edits)
-                if min(made) <= most:
-                    todo.append((child, made, row, letter))
-        return found
-
-    def close(self, word: str) -> list[str]:
-        """Terms (long ones) at distance one from the word.
-
-        A state of the automaton is (letters of the word read, edits made). Without an edit
-        it follows one branch; at each node of it every edit is tried, after which only the
-        branch of the word's remaining letters is left.
-        """
-        if not self.may_be_close(word):
-            return []
-        found: set[str] = set()
-        node, n = self.root, len(word)
-        for i in range(n + 1):
-            here, after = word[i : i + 1], word[i + 1 : i + 2] or None
+            node, i, made = todo.pop()
+            if made == most:  # the rest of the word, letter by letter
+                while i < n and node is not None:
+                    node = node.get(word[i])
+                    i += 1
+                if node is not None and None in node:
+                    found.add(node[None])
+                continue
+            if i == n and None in node:
+                found.add(node[None])
+            here = word[i] if i < n else None
+            after = word[i + 1] if i + 1 < n else None
+            last = made + 1 == most  # then a branch must go on with the letter that comes next
+            if i < n and (not last or after in node):
+                todo.append((node, i + 1, made + 1))  # the word has a letter more
             for letter, child in node.items():
                 if letter is None:
                     continue
-                if (here or None) in child:  # the term has a letter more
-                    found.add(self._walk(child, word, i))
-                if i < n and letter != here and after in child:  # another letter
-                    found.add(self._walk(child, word, i + 1))
-            if i == n:
-                break
-            if after in node:  # the word has a letter more
-                found.add(self._walk(node, word, i + 1))
-            node = node.get(here)
-            if node is None:
-                break
-        found -= {None, word}
-        return [t for t in found if len(t) >= LEAST_FUZZY]
-
-    @staticmethod
-    def _walk(node: dict, word: str, i: int) -> str | None:
-        """The term that the rest of the word leads to."""
-        for c in word[i:]:
-            node = node.get(c)
-            if node is None:
-                return None
-        return node.get(None)
+                if letter == here:
+                    todo.append((child, i + 1, made))
+                elif i < n:
+                    if not last or after in child:
+                        todo.append((child, i + 1, made + 1))  # another letter
+                    if letter == after and here in child:
+                        todo.append((child[here], i + 2, made + 1))  # two letters changed places
+                if not last or here in child:
+                    todo.append((child, i, made + 1))  # the term has a letter more
 
 
 @dataclass
@@ -328,14 +250,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
         .agg(F.sum("toxic").alias("n1"), F.sum("clean").alias("n0"))
         .where("word <> ''")
     )
+    counts = durable(counts, "words")  # read for the lexicon and for its harmless neighbours
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1), (F.col("n0") + 0.5) / (n0 + 1)
     share = (F.col("n1") + F.col("n0")) / (n1 + n0)
     z = (p1 - p0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
     found = (
         counts.where((F.col("n1") >= max(LEAST_DOCS, LEAST_SHARE * n1)) & (F.log(p1 / p0) >= LEAST_RATIO) & (z >= LEAST_Z))
-        .select("word", F.log(p1 / p0).alias("weight"), z.alias("z"))
-        .orderBy(F.desc("z"), "word")
-        .limit(TERMS)
+        .select("word", F.log(p1 / p0).alias("weight"))
         .collect()
     )
     terms = {r["word"]: float(r["weight"]) for r in found}
@@ -346,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROW
             near = [w for w in b.column(0).to_pylist() if w not in terms and trie.near(w)]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["word"])
 
-    # At most the strings within reach of `TERMS` terms that harmless documents repeat.
+    # Of the sample's words those within reach of a term that harmless documents repeat.
     clean = (F.col("n0") >= max(LEAST_CLEAN, LEAST_CLEAN_SHARE * n0)) & (z < CLEAN_Z)
     common = counts.where(clean).select("word").mapInArrow(neighbours, "word STRING")
     model = Model(terms, {r[0] for r in common.collect()}, None)
