@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from postloom.llm import neardup, packing, quality, substring, toxicity
 from postloom.llm.common import keep_where, ship, table
 from postloom.llm.queries import vocabulary_path
-from postloom.runtime import durable
+from postloom.runtime import delete, durable, scratch_path, temporary
 
 #: Toxicity from which a document goes, and quality from which one stays.
 TOXIC = 0.3
@@ -38,8 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each class of near-duplicates, that of smallest id and, among texts of
     one id, of smallest hash.
 
-    Of rows of one id and text one stays. Rows of one id and different texts are documents
-    each. Rows without id stay.
+    Of rows of one id and text that one stays whose other columns come first as JSON. Rows of
+    one id and different texts are documents each. Rows without id stay.
     """
     ship(spark)
     classes = neardup.classes(docs, firsts=True)
@@ -49,7 +49,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known = docs.where(docs["doc_id"].isNotNull()).withColumn("_text", F.xxhash64("text"))
     same = (known["doc_id"].cast("long") == other["_gone"]) & (known["_text"] == other["_gone_text"])
     left = known.join(other, same, "left_anti")
-    return left.dropDuplicates(["doc_id", "_text"]).select(*docs.columns).union(docs.where(docs["doc_id"].isNull()))
+    rest = F.to_json(F.struct(F.lit(0), *[left[c] for c in docs.columns if c != "text"]))
+    row = F.min_by(F.struct(*[left[c] for c in docs.columns]), rest)
+    one = left.groupBy(left["doc_id"], left["_text"]).agg(row.alias("_row")).select("_row.*")
+    return one.union(docs.where(docs["doc_id"].isNull()))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,8 +88,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each one's rows written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`, each one's rows written to the shared folder.
+
+    What a stage writes on its way goes when its rows are written, and its rows go when the next
+    stage's are. Only what the last stage's result is read from is left.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = scratch_path(spark, name.replace(" ", "_"))
+        with temporary(spark):
+            docs = durable(stage(spark, docs, sf_dir), name, path)
+        if last is not None:
+            delete(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

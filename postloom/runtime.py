@@ -65,19 +65,25 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     finally:
         made, _run.made = _run.made, outer
         for path in made:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete(spark, path)
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def durable(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Fixes values that must not change when a stage is run again (such as the
-    range a row fell into) and lets later passes read single columns.
+    range a row fell into) and lets later passes read single columns. With a `path` of the
+    caller's own, the caller also deletes it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    if getattr(_run, "made", None) is not None:
-        _run.made.append(path.rsplit("/", 1)[0])
+    if path is None:
+        path = scratch_path(spark, name)
+        if getattr(_run, "made", None) is not None:
+            _run.made.append(path.rsplit("/", 1)[0])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
