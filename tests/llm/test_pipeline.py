@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import corpus_pipeline
 from plain import cut
 from postloom.llm import queries
+from postloom.runtime import shared_dir
 
 COLUMNS = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, label INT, rank STRING"
 
@@ -41,7 +44,11 @@ def test_stages_follow_each_other(spark, tmp_path, prose):
         removed, kept = want[d]
         assert r.text == (kept if removed else seen[2][d].text)
     assert set(seen[4]) == set(seen[3])
+    scratch = lambda: {p.name for p in Path(shared_dir(spark)).glob("postloom/*/*")}
+    before = scratch()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == df.count()
+    # Only what the last stage reads and writes is left.
+    assert not (scratch() - before) & {"toxicity", "quality_classifier", "n-gram_Jaccard_join", "sample", "words", "sketches"}
 
 
 def test_near_copies_go_by_id_and_text(spark, documents, prose):
@@ -54,6 +61,13 @@ def test_near_copies_go_by_id_and_text(spark, documents, prose):
     assert got == sorted([(1, copied), (5, own), (9, nine[0]), (9, None), (9, ""), (None, own)], key=str)
 
 
+def test_which_of_equal_documents_stays(spark, prose):
+    rows = [(1, prose(1, 60), "en", s, n, 1, None) for s, n in [("b", 2), ("a", 7), ("a", 3), (None, 1)]]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    got = [r.n_chars for order in (docs, docs.orderBy("n_chars")) for r in corpus_pipeline.near_duplicates(spark, order, "").collect()]
+    assert len(got) == 2 and len(set(got)) == 1
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
