@@ -40,8 +40,8 @@ COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
 
 #: Packed rows that a task gathers before it deals them out, rows aimed at per place, and
-#: places of a task. A task gathers the finds of its places, up to `BUFFER` of them, before it
-#: sends them to their documents, so a document gets a row per task, not per place.
+#: places of a task. With many places a document's finds come back in about as many rows as
+#: it has finds, whatever the size of the corpus; with few places, in as many as there are.
 BUFFER = 2_000_000
 PLACE_ROWS = 50_000
 TASK_PLACES = 8
@@ -191,21 +191,15 @@ _SPOTS = "key LONG, runs BINARY"
 
 def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
     """Runs of places (packed starts, then ends) of each document's items that repeat
-    (anchors) or are covered (windows), a row per task that the items were dealt to."""
+    (anchors) or are covered (windows), a row per place that the items were dealt to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, opened, known, gathered = None, [], [], []
+        place, opened, known = None, [], []
 
-        def settle() -> None:
+        def done() -> Iterator[pa.RecordBatch]:
             items = np.concatenate([unpack(o, _ITEM) for o in opened])
             items, hit = shared(items)[:2] if kind == "anchors" else covered_items(items)
-            gathered.extend([runs(by_document(items[hit])), *(unpack(k, _RUN) for k in known)])
-            opened.clear()
-            known.clear()
-
-        def send() -> Iterator[pa.RecordBatch]:
-            found = np.concatenate(gathered)
-            gathered.clear()
+            found = np.concatenate([runs(by_document(items[hit])), *(unpack(k, _RUN) for k in known)])
             found = found[np.lexsort((found["key"], found["doc"]))]
             starts = _starts(found["doc"], found["key"])
             ends = np.append(starts[1:], len(found))
@@ -219,15 +213,13 @@ def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
         for b in batches:
             for p, o, k in zip(*(c.to_pylist() for c in b.columns)):
                 if place is not None and p != place:
-                    settle()
-                    if sum(map(len, gathered)) >= BUFFER:
-                        yield from send()
+                    yield from done()
+                    opened, known = [], []
                 place = p
                 opened.append(o)
                 known.append(k)
         if place is not None:
-            settle()
-            yield from send()
+            yield from done()
 
     dealt = packed.repartition(max(8, places // TASK_PLACES), "place").sortWithinPartitions("place")
     return dealt.mapInArrow(run, _SPOTS).groupBy("key").agg(F.collect_list("runs").alias("runs"))
