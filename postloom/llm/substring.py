@@ -43,8 +43,8 @@ ANCHOR = WINDOW - PERIOD + 1
 #: places of a task. With many places a document's finds come back in about as many rows as
 #: it has finds, whatever the size of the corpus; with few places, in as many as there are.
 BUFFER = 2_000_000
-PLACE_ROWS = 50_000
-TASK_PLACES = 8
+PLACE_ROWS = 25_000
+TASK_PLACES = 16
 
 _ITEM = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("at", "<i4")])
 _RUN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<i4"), ("end", "<i4")])
