@@ -1,9 +1,10 @@
 """Best-fit packing of token pieces into sequences by exact-complement hashing.
 
 How many pieces there are of each length is all that the plan needs: at most `size`
-numbers, whatever the size of the corpus. The plan takes the longest length and looks for
-one, two or three lengths that fill its gap exactly, by availability of single lengths, of
-sums of two and of sums of three, and takes as many of that combination as there are. What
+numbers, whatever the size of the corpus. The sums of one, two and three lengths are
+indexed under the counts that are left. The plan takes the longest length, asks the index
+for lengths whose sum fills its gap exactly, and takes as many of that combination as there
+are; the index follows when a length runs short (see `Sums`). What
 is left is packed best fit, longest first. The plan is a list of patterns (lengths of a
 sequence, how many such sequences), in which every step uses up a length or a group of
 open sequences, so it is bounded by `size` too.
@@ -31,6 +32,9 @@ from .common import batch, chunks
 #: Pieces numbered by one window.
 WINDOW_ROWS = 100_000
 
+#: Lengths that an exact complement may have.
+DEPTH = 3
+
 _PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -70,62 +74,98 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
 # -- the plan
 
 
-class _Stock:
-    """Available pieces by length."""
+class Sums:
+    """Available pieces by length, with an index of the sums of one, two and three of them.
+
+    `ways[k][s]` is how many selections of k pieces have the sum s, pieces of one length
+    counting as alike and none being used more often than it is there. It is the factor z^k
+    t^s of the product over all lengths x of 1 + z t^x + ... + z^m t^mx, where m is how many
+    of x are there, three at most. So when m changes, the factor of x is divided out and the
+    new one multiplied in, which are shifts of rows of `size` numbers.
+    """
 
     def __init__(self, counts: dict[int, int], size: int):
         self.size = size
         self.count = np.zeros(size + 1, np.int64)
+        self.ways = np.zeros((DEPTH + 1, size + 1), np.int64)
+        self.ways[0, 0] = 1
         for length, n in counts.items():
-            self.count[length] = n
-        self.there = self.count > 0
+            self.add(length, n)
+
+    def _without(self, x: int, m: int) -> np.ndarray:
+        """The index of all lengths but `x`, of which up to `m` are in `ways`."""
+        out = self.ways.copy()
+        for k in range(1, DEPTH + 1):
+            for j in range(1, min(m, k) + 1):
+                if j * x <= self.size:
+                    out[k, j * x :] -= out[k - j, : self.size + 1 - j * x]
+        return out
+
+    def add(self, x: int, n: int) -> None:
+        """`n` more pieces of length `x` (fewer, if negative)."""
+        old, new = min(int(self.count[x]), DEPTH), min(int(self.count[x]) + n, DEPTH)
+        self.count[x] += n
+        if old == new:
+            return
+        rest = self._without(x, old)
+        self.ways = rest.copy()
+        for k in range(1, DEPTH + 1):
+            for j in range(1, min(new, k) + 1):
+                if j * x <= self.size:
+                    self.ways[k, j * x :] += rest[k - j, : self.size + 1 - j * x]
 
     def most(self, lengths: tuple[int, ...]) -> int:
         """How many times the combination can be taken."""
         return min(int(self.count[x]) // k for x, k in Counter(lengths).items())
 
     def take(self, lengths: tuple[int, ...], times: int) -> None:
-        for x in lengths:
-            self.count[x] -= times
-            self.there[x] = self.count[x] > 0
+        for x, k in Counter(lengths).items():
+            self.add(x, -k * times)
 
-    def pair(self, total: int, taken: tuple[int, ...]) -> tuple[int, int] | None:
-        """Two lengths of that sum which can be had beside `taken`, the larger as large as can be."""
-        if total < 2:
-            return None
+    def _pair(self, total: int) -> tuple[int, int]:
+        """The two lengths of an indexed sum, the larger as large as can be."""
         low = np.arange(1, total // 2 + 1)
-        for b in low[self.there[low] & self.there[total - low]].tolist():
-            if self.most((*taken, b, total - b)):
-                return total - b, b
-        return None
+        there = (self.count[low] > 0) & (self.count[total - low] > (low == total - low))
+        b = int(low[there][0])
+        return total - b, b
+
+    def _triple(self, total: int) -> tuple[int, int, int]:
+        """The three lengths of an indexed sum, the largest as large as can be."""
+        c = np.flatnonzero(self.count[:total])[::-1]
+        rest = total - c
+        # Pairs of the remaining sum, less those that need the very piece that is c.
+        other, n = rest - c, self.count[c]
+        needs = (n == 1) & (other > 0) & (other != c) & (self.count[other] > 0) | (n == 2) & (other == c)
+        pairs = self.ways[2, rest] - needs
+        largest = int(c[pairs > 0][0])
+        self.add(largest, -1)
+        two = self._pair(total - largest)
+        self.add(largest, 1)
+        return largest, *two
 
     def filling(self, length: int) -> tuple[int, ...] | None:
-        """A combination of up to four lengths with `length` that fills a sequence exactly."""
+        """`length` with one, two or three others that fill a sequence exactly, if any do."""
         gap = self.size - length
         if gap == 0:
             return (length,)
-        if self.there[gap] and self.most((length, gap)):
-            return length, gap
-        two = self.pair(gap, (length,))
-        if two:
-            return length, *two
-        singles = np.flatnonzero(self.there[:gap])
-        for c in singles[::-1].tolist():
-            if 3 * c < gap:  # c is the largest of the three
-                break
-            rest = gap - c
-            if rest >= 2 and self.most((length, c)):
-                two = self.pair(rest, (length, c))
-                if two:
-                    return length, c, *two
-        return None
+        self.add(length, -1)
+        if self.ways[1, gap]:
+            found = (length, gap)
+        elif self.ways[2, gap]:
+            found = (length, *self._pair(gap))
+        elif self.ways[3, gap]:
+            found = (length, *self._triple(gap))
+        else:
+            found = None
+        self.add(length, 1)
+        return found
 
 
 def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths and how many sequences have each. Every piece is in one."""
-    stock, out = _Stock(counts, size), []
+    stock, out = Sums(counts, size), []
     for length in range(size, 0, -1):
-        while stock.there[length]:
+        while stock.count[length]:
             lengths = stock.filling(length)
             if lengths is None:
                 break
@@ -195,7 +235,7 @@ def pack(items: DataFrame, size: int) -> DataFrame:
     if salts:
         known = F.create_map(*[F.lit(v) for pair in salts.items() for v in pair])
         by = F.coalesce(F.element_at(known, F.col("length")), F.lit(1))
-    salted = items.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), by).cast("int"))
+    salted = items.withColumn("_salt", F.pmod(F.xxhash64(*items.columns), by).cast("int"))
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

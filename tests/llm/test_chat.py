@@ -43,6 +43,8 @@ def test_read_back(spark):
     turns = [(c, i, "assistant" if i % 2 else "user", t) for c in (3, 4) for i, t in enumerate(HARD)]
     df = spark.createDataFrame(turns, "conv_id LONG, turn LONG, role STRING, text STRING").selectExpr("*", "1 AS seq", "2 AS position", "3 AS kind")
     got = {r.conv_id: r for r in chat.read_back(chat.format_chats(chat.turn_events(df))).collect()}
+    marks = "\\#"
+    shown = lambda t, marks: "".join("\\" + x if x in marks else x for x in t).replace("</turn>", "\\</turn>")
     for c in (3, 4):
         mine = [t for t in turns if t[0] == c]
         loss = "".join(t[3] for t in mine if t[2] == "assistant")
@@ -50,3 +52,4 @@ def test_read_back(spark):
         r = got[c]
         assert (r.n_turns, r.turns_sha256) == (len(mine), digest("".join(f"{t[2]}\n{t[3]}\n" for t in mine)))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), digest(loss))
+        assert r.formatted_chars == len("".join(f"### {shown(t[2], '#:')}: {shown(t[3], marks)}</turn>\n" for t in mine))

@@ -1,7 +1,12 @@
 import random
+import zlib
 from collections import Counter
+from functools import cache
+from itertools import combinations_with_replacement
 
+import numpy as np
 import public_tokenizers
+from tokenizers import Tokenizer
 
 from postloom.llm import packing
 
@@ -30,6 +35,73 @@ def test_plan_fills_exactly():
     assert packing.plan({}, 10) == []
 
 
+def selections(counts, size, k):
+    ways = [0] * (size + 1)
+    for some in combinations_with_replacement(sorted(counts), k):
+        if sum(some) <= size and all(counts[x] >= n for x, n in Counter(some).items()):
+            ways[sum(some)] += 1
+    return ways
+
+
+def test_index_of_sums_equals_brute_force():
+    for seed in range(60):
+        rng = random.Random(seed)
+        size = rng.choice([5, 12, 30])
+        some = rng.sample(range(1, size + 1), min(size, rng.choice([1, 4, 9])))
+        sums = packing.Sums({x: rng.choice([1, 1, 2, 3, 9]) for x in some}, size)
+        while left := {x: int(n) for x, n in enumerate(sums.count) if n}:
+            assert all(sums.ways[k].tolist() == selections(left, size, k) for k in (1, 2, 3))
+            for x in left:
+                rest = Counter(left) - Counter([x])
+                fills = x == size or any(selections(rest, size, k)[size - x] for k in (1, 2, 3))
+                found = sums.filling(x)
+                assert (found is not None) == fills
+                assert found is None or sum(found) == size and found[0] == x and sums.most(found)
+            x = rng.choice(list(left))
+            sums.add(x, -rng.randint(1, left[x]))
+        assert not np.any(sums.ways[1:])
+
+
+def fewest(lengths, size):
+    """The least number of sequences, by trying every place for every piece."""
+
+    @cache
+    def least(at, gaps):
+        if at == len(lengths):
+            return len(gaps)
+        x = lengths[at]
+        put = [least(at + 1, tuple(sorted((*gaps, size - x))))]
+        for k, gap in enumerate(gaps):
+            if gap >= x:
+                put.append(least(at + 1, tuple(sorted((*gaps[:k], gap - x, *gaps[k + 1 :])))))
+        return min(put)
+
+    return least(0, ())
+
+
+def test_plan_is_near_the_fewest():
+    over = 0
+    for seed in range(60):
+        rng = random.Random(seed)
+        lengths = tuple(sorted((rng.randint(1, 20) for _ in range(9)), reverse=True))
+        got, best = sum(t for _, t in packing.plan(Counter(lengths), 20)), fewest(lengths, 20)
+        assert best <= got <= best + 1
+        over += got > best
+    assert over <= 12
+
+
+def test_pieces_are_the_library_s(documents, prose):
+    rows = [(i, prose(i, 20 + 150 * i)) for i in range(6)] + [(10, None), (11, ""), (12, "é \U0001f600\n\n x" * 90)]
+    library, want = Tokenizer.from_file(PATH), set()
+    for doc_id, text in rows:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        for k in range(0, len(ids), 100):
+            part = ids[k : k + 100]
+            want.add((doc_id, k // 100, k, len(part), zlib.crc32(part.tobytes())))
+    got = packing.pack_documents(documents(rows), PATH, size=100).collect()
+    assert len(got) == len(want) and {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == want
+
+
 def test_rows(documents, prose, monkeypatch):
     monkeypatch.setattr(packing, "WINDOW_ROWS", 3)
     rows = [(i, prose(i, 5 + 7 * (i % 9))) for i in range(60)]
