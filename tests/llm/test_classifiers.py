@@ -121,6 +121,33 @@ def test_quality_on_held_out_rows(spark, documents, prose):
     assert quality.score(documents(docs).limit(0), model).count() == 0
 
 
+def test_ranking_equals_a_plain_one():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 4))
+    good = x @ [2.0, -1.0, 0.5, 0.0] + rng.normal(size=60) > 0.3
+    model = quality.fit_pairs(x, good, pairs=25_000)
+    # Plain: gradient descent on the mean logistic loss of every pair of a good and a bad row.
+    spread = x.std(0) + 1e-6
+    d = ((x[good][:, None] - x[~good][None]) / spread).reshape(-1, 4)
+    w = np.zeros(4)
+    for _ in range(20_000):
+        w -= 0.3 * (quality.RIDGE * w - (d / (1 + np.exp(d @ w))[:, None]).mean(0))
+    assert np.allclose(model.weights * spread, w, atol=0.2)
+    scores = x @ model.weights
+    assert model.cut == np.quantile(scores, (~good).mean())
+
+
+def test_words_alone_tell_quality(spark, documents, prose):
+    """Texts alike in shape, some with words that only bad ones have."""
+    docs = [(i, prose(i, 60, 3000)) for i in range(300)]
+    docs = [(i, " ".join("lorem" if i % 3 == 0 and k % 9 == 4 else w for k, w in enumerate(t.split()))) for i, t in docs]
+    labels = [(i, int(i % 3 > 0)) for i, _ in docs]
+    held_out = learning.crc(F.col("doc_id")) % 5 == 0
+    model = quality.fit(documents(docs), frame(spark, labels, "quality"), ~held_out)
+    got = {r.doc_id: r.score for r in quality.score(documents(docs), model).where(held_out).collect()}
+    assert np.mean([(got[i] >= 0.3) == (i % 3 > 0) for i in got]) > 0.9
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = ["a a b\nc | d", "", "X!! Y!! z***", "one\ntwo\none\n", "é ü 123"]
     together = quality.features(pa.array([*texts, None], pa.string()))
