@@ -1,9 +1,10 @@
-"""Counters and summaries."""
+"""Counters and summaries."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.clock import micros
 from ..functions.coerce import int_sql, json_field, json_has_key, json_int, json_items
 from ..sources.pages import delivered_posts
 
@@ -78,6 +79,69 @@ def latest_progress(lines: DataFrame, keys: tuple[str, ...] = ("task_name",), ti
     )
 
 
+# Fixed value: seconds between writes of a task's progress that nothing forces.
+FLUSH_SECONDS = 30
+# Events that force a write.
+FORCING = ("post", "failed", "stopped")
+
+
+def progress_writes(
+    lines: DataFrame,
+    seconds: int = FLUSH_SECONDS,
+    keys: tuple[str, ...] = ("task_name",),
+    tie: tuple[str, ...] = (),
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """How often, and when last, the progress of each task is written.
+
+    Every post, failure and stop writes it. Beside them the first line of each slot of
+    `seconds` does (none if that is 0), so what is written of a quiet task lags by less than two
+    slots. Equal times are settled by `tie`.
+
+    Returns the keys, `forced` and `timed` (writes of each kind), `last_line_at`, `last_write_at`
+    and `written` (whether a line given here wrote). `before` is the result for all
+    lines before these; its counts go on, and its last slot is not opened twice. Lines
+    without time are left out. Each slot is reduced to one row first, so a busy task costs one
+    row per task and slot.
+    """
+    ts, width = F.col("ts"), max(seconds, 1) * 1_000_000
+    slot = lambda at: F.floor(micros(at) / width)
+    forces = F.coalesce(F.col("event").isin(*FORCING), F.lit(False))
+    slots = (
+        lines.where(ts.isNotNull())
+        .groupBy(*keys, slot(ts).alias("slot"))
+        .agg(
+            F.count_if(forces).alias("forced"),
+            F.max(F.when(forces, ts)).alias("forced_at"),
+            F.min(F.struct("ts", *tie, forces.alias("forces"))).alias("first"),
+            F.max(ts).alias("last_line_at"),
+        )
+    )
+    due = F.lit(seconds > 0) & ~F.col("first.forces")
+    if before is not None:
+        seen = before.select(*[F.col(k).alias(f"_{k}") for k in keys], slot(F.col("last_line_at")).alias("_slot"))
+        same = [slots[k].eqNullSafe(seen[f"_{k}"]) for k in keys]
+        slots = slots.join(seen, same, "left")
+        due = due & (F.col("_slot").isNull() | (F.col("slot") > F.col("_slot")))
+    now = slots.select(
+        *keys,
+        "forced",
+        due.cast("bigint").alias("timed"),
+        "last_line_at",
+        F.greatest("forced_at", F.when(due, F.col("first.ts"))).alias("last_write_at"),
+        ((F.col("forced") > 0) | due).alias("written"),
+    )
+    if before is not None:
+        now = now.unionByName(before.withColumn("written", F.lit(False)))
+    return now.groupBy(*keys).agg(
+        F.sum("forced").alias("forced"),
+        F.sum("timed").alias("timed"),
+        F.max("last_line_at").alias("last_line_at"),
+        F.max("last_write_at").alias("last_write_at"),
+        F.max("written").alias("written"),
+    )
+
+
 def rules_response(log: DataFrame) -> DataFrame:
     """Outcome of rule requests.
 

@@ -18,7 +18,7 @@ from ..operators.gaps import (
     reconnect_decision,
 )
 from ..operators.intervals import gap_backfill
-from ..operators.stats import latest_progress
+from ..operators.stats import latest_progress, progress_writes
 from ..runtime import scratch_path
 from ..sources.envelope import write_envelope
 from ..streaming.jobs import (
@@ -223,6 +223,25 @@ def progress(spark: SparkSession, sf: str) -> DataFrame:
     return latest_progress(connection_log(spark, sf), tie=TIE)
 
 
+WRITE_SECONDS = 3600
+WRITES_SQL = LOG_SQL + f"""
+, slots AS (
+  SELECT task_name, count(*) FILTER (event IN ('post', 'failed', 'stopped')) AS forced,
+    max(CASE WHEN event IN ('post', 'failed', 'stopped') THEN ts END) AS forced_at, min(ts) AS first_at, max(ts) AS last_at,
+    first(event ORDER BY ts, event_id) NOT IN ('post', 'failed', 'stopped') AS due
+  FROM log GROUP BY task_name, floor(epoch_us(ts) / {WRITE_SECONDS * 1_000_000}))
+SELECT task_name, CAST(sum(forced) AS BIGINT) AS forced, count(*) FILTER (due) AS timed, max(last_at) AS last_line_at,
+  max(greatest(forced_at, CASE WHEN due THEN first_at END)) AS last_write_at
+FROM slots GROUP BY task_name
+"""
+
+
+@query("progress_writes", WRITES_SQL)
+def writes(spark: SparkSession, sf: str) -> DataFrame:
+    """T10 over a whole log."""
+    return progress_writes(connection_log(spark, sf), WRITE_SECONDS, tie=TIE).drop("written")
+
+
 # Streaming. Each query runs its job until the source is read and returns what it wrote.
 
 EVENT_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -363,6 +382,20 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     return written.where(F.col("batch_id") == last).drop("batch_id")
 
 
+@query("stream_progress_writes", WRITES_SQL)
+def stream_progress_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same writes by a stream in several batches."""
+    target, checkpoint = folders(spark, "stream_progress_writes")
+    published = scratch_path(spark, "published")
+    path = connection_files(spark, sf)
+    arrive_in_order(spark, path)
+    stream = connection_stream(spark, path, max_files=max(1, slices(connection_log(spark, sf)) // 4))
+    progress_stream(stream, target, checkpoint, published, WRITE_SECONDS, TIE).awaitTermination()
+    written = spark.read.parquet(f"{published}/writes")
+    last = written.agg(F.max("batch_id")).scalar()
+    return written.where(F.col("batch_id") == last).drop("batch_id", "written")
+
+
 def line_files(spark: SparkSession, sf: str) -> str:
     """The event lines as text files in event order."""
     path = scratch_path(spark, "line_files")

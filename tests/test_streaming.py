@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from postloom.operators import seen as seen_table
 from postloom.operators.gaps import connection_gaps
 from postloom.operators.seen import SeenTable
+from postloom.operators.stats import progress_writes
 
 from postloom.streaming.jobs import (
     collect_stream,
@@ -22,6 +23,7 @@ from postloom.streaming.jobs import (
     idle_sessions,
     line_stream,
     open_ends,
+    progress_stream,
     run_for,
     with_ends,
 )
@@ -252,3 +254,57 @@ def test_an_end_marker_is_no_heartbeat(spark, tmp_path):
     run_append(heartbeats(lines, event="id"), target, check)
     got = spark.read.parquet(target).select("id", F.minute("slot_start").alias("m"), "lines").collect()
     assert sorted(map(tuple, got), key=str) == [("u", 0, 2), (None, 1, 1)] or sorted(map(tuple, got), key=str) == [(None, 1, 1), ("u", 0, 2)]
+
+
+LINES = "task_name STRING, ts TIMESTAMP_NTZ, event STRING, n INT"
+
+
+def plain_writes(rows, seconds):
+    """One line after another."""
+    out, seen = {}, {}
+    for task, ts, event, _ in sorted((r for r in rows if r[1]), key=lambda r: (r[1], r[3])):
+        slot = int((ts - dt.datetime(1970, 1, 1)).total_seconds() // max(seconds, 1))
+        forced, timed, _, wrote = out.get(task, (0, 0, None, None))
+        if event in ("post", "failed", "stopped"):
+            forced, wrote = forced + 1, ts
+        elif seconds and seen.get(task) != slot:
+            timed, wrote = timed + 1, ts
+        seen[task] = slot
+        out[task] = (forced, timed, ts, wrote)
+    return out
+
+
+def some_lines(seed, n):
+    rng = random.Random(seed)
+    start, kinds = dt.datetime(2024, 1, 1), ["keepalive"] * 6 + ["connected", "post", "failed", "stopped", None]
+    rows = [(rng.choice(["a", "a", "b", None]), start + dt.timedelta(seconds=rng.randrange(900)), rng.choice(kinds), i) for i in range(n)]
+    return sorted(rows, key=lambda r: (r[1], r[3]))
+
+
+def writes_of(df):
+    return {r.task_name: (r.forced, r.timed, r.last_line_at, r.last_write_at) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seconds", [0, 1, 30, 400])
+def test_progress_is_written_when_forced_or_due(spark, seconds):
+    rows = some_lines(seconds, 150) + [("c", None, "post", 1)]
+    got = writes_of(progress_writes(spark.createDataFrame(rows, LINES), seconds, tie=("n",)))
+    assert got == plain_writes(rows, seconds)
+    assert progress_writes(spark.createDataFrame([], LINES), seconds).count() == 0
+
+
+def test_published_progress_in_batches(spark, tmp_path):
+    src, target, check, published = (str(tmp_path / n) for n in ("in", "out", "check", "published"))
+    rows = some_lines(7, 90) + [("quiet", dt.datetime(2024, 1, 1, 0, 15, 1), "keepalive", 90), ("quiet", dt.datetime(2024, 1, 1, 0, 15, 2), "keepalive", 91)]
+    cuts = [0, 40, 85, 91, 92]
+    for n, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        spark.createDataFrame(rows[lo:hi], LINES).coalesce(1).write.mode("append").parquet(src)
+        lines = spark.readStream.schema(LINES).parquet(src)
+        progress_stream(lines, target, check, published, 60, ("n",)).awaitTermination()
+        now = spark.read.parquet(f"{published}/writes").where(F.col("batch_id") == n)
+        assert writes_of(now) == plain_writes(rows[:hi], 60)
+        told = {r.task_name for r in spark.read.parquet(f"{published}/progress").where(F.col("batch_id") == n).collect()}
+        was, is_ = plain_writes(rows[:lo], 60), plain_writes(rows[:hi], 60)
+        assert told == {t for t in is_ if is_[t][:2] != was.get(t, (0, 0))[:2]}
+    # The second line of a slot that began in the batch before writes nothing.
+    assert told == set()
