@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clock import choose_endpoint
 from ..operators.intervals import window_join
 from ..operators.stats import cap_reached
-from ..runtime import scratch_path
+from ..runtime import durable, scratch_path
 from ..sources.state_table import StateTable
 from ..sources.states import collector_states, stream_states
 from .registry import query
@@ -110,10 +110,10 @@ def time_windows(spark: SparkSession, sf: str) -> DataFrame:
     return planned_tasks(spark, sf).select("task_name", "query", "endpoint", "start_time_utc", "end_time_utc", "error")
 
 
-def saved_runs(spark: SparkSession, sf: str) -> DataFrame:
+def saved_runs(planned: DataFrame) -> DataFrame:
     """Saved states that often fit the planned windows."""
     c = F.col("task_name").cast("bigint")
-    return planned_tasks(spark, sf).where("error is null").select(
+    return planned.where("error is null").select(
         "task_name",
         F.when(c % 13 == 0, F.concat("query", F.lit(" old"))).otherwise(F.col("query")).alias("query"),
         F.when(c % 19 > 0, F.col("start_time_utc")).alias("start_time_utc"),
@@ -158,7 +158,8 @@ decided AS (
 )
 def resume_decision(spark: SparkSession, sf: str) -> DataFrame:
     """X2"""
-    return resume_decisions(planned_tasks(spark, sf), saved_runs(spark, sf)).select("task_name", "action", "resume_token")
+    planned = durable(planned_tasks(spark, sf), "planned")
+    return resume_decisions(planned, saved_runs(planned)).select("task_name", "action", "resume_token")
 
 
 ROLLED_SQL = (
@@ -195,8 +196,9 @@ def run_results(decided: DataFrame) -> DataFrame:
 @query("state_roll_forward", ROLLED_SQL)
 def state_roll(spark: SparkSession, sf: str) -> DataFrame:
     """X3"""
-    saved = saved_runs(spark, sf)
-    decided = resume_decisions(planned_tasks(spark, sf), saved)
+    planned = durable(planned_tasks(spark, sf), "planned")
+    saved = durable(saved_runs(planned), "saved")
+    decided = durable(resume_decisions(planned, saved), "decided")  # read for the tasks that ran and for the rest
     return roll_forward(decided, saved, run_results(decided)).select(
         "task_name", "page_count", "total_tweets", "next_token", "completed", "stop_reason",
         "converted_jsonl_offset", "truncated",
@@ -207,13 +209,15 @@ def state_roll(spark: SparkSession, sf: str) -> DataFrame:
 def state_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The same by merging the tasks that ran into a table with versions."""
     columns = ("page_count", "total_tweets", "next_token", "completed", "stop_reason", "converted_jsonl_offset", "truncated")
-    saved = saved_runs(spark, sf).withColumn("truncated", F.lit(False))
+    planned = durable(planned_tasks(spark, sf), "planned")
+    saved = saved_runs(planned).withColumn("truncated", F.lit(False))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in saved.schema)
     table_ = StateTable(spark, scratch_path(spark, "states"), ddl)
     table_.merge(saved, 0)
     states, version = table_.read()
-    decided = resume_decisions(planned_tasks(spark, sf), states)
-    table_.merge(rolled_rows(decided, states, run_results(decided)).select(*states.columns), version)
+    decided = durable(resume_decisions(planned, states), "decided")
+    rolled = durable(rolled_rows(decided, states, run_results(decided)).select(*states.columns), "rolled")
+    table_.merge(rolled, version)
     return table_.read()[0].select("task_name", *columns)
 
 

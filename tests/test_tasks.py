@@ -62,3 +62,12 @@ def test_shared_folder_comes_from_the_session(spark):
 
 def test_public_names(spark):
     assert all(hasattr(postloom, name) for name in postloom.__all__)
+
+
+def test_windows_are_planned_once(spark):
+    """The steps behind the planned tasks read them from a table."""
+    from postloom.plans import catalog_plan
+
+    for roll in (catalog_plan.state_roll, catalog_plan.resume_decision):
+        plan = roll(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "convert_timezone" not in plan
