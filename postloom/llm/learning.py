@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import durable
 
-#: Labelled rows that a classifier is fitted on, at most; taken by a hash of their id.
+#: Labelled rows that the toxicity classifier is fitted on, at most; taken by a hash of their id.
 TRAIN_ROWS = 20_000
 
 
@@ -23,13 +23,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     number at most `rows` and are broadcast, so only the sample's texts are shuffled, and it
     lies in many tasks. Of several texts under one id the smallest counts.
     """
+    some = label_of(labels, label, learn).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return durable(_texts(docs, F.broadcast(some)), "sample")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """All documents with their label (doc_id, text, label), as `labelled_sample` has some of them."""
+    return _texts(docs, label_of(labels, label, learn))
+
+
+def label_of(labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """doc_id and label of the ids that may be learned from, each once."""
     l = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))  # noqa: E741
     known = l.where(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-    one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    some = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def _texts(docs: DataFrame, known: DataFrame) -> DataFrame:
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    texts = d.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    return durable(texts.select("doc_id", "text", "label"), "sample")
+    texts = d.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return texts.select("doc_id", "text", "label")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:

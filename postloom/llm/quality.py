@@ -1,32 +1,40 @@
 """Quality scores by Bradley-Terry ranking.
 
 A document is a few shares of its words, lines and letters, and its words and word pairs,
-hashed with a sign into `BUCKETS` numbers of common length 1. Pairs of a good and a bad
-document are drawn from a bounded labelled sample; the chance that the good one wins is the
-logistic function of the difference of their scores, which are linear in the features, so
-fitting is a logistic regression without constant on feature differences. A score is then
-set against the sample's scores: the quantile at the share of bad documents is the
-threshold, and becomes `THRESHOLD` on the scale of 0 to 1.
+hashed with a sign into `BUCKETS` numbers of common length 1. All labelled documents are dealt
+into groups by a hash, and in a group every good one meets every bad one; the chance that
+the good one wins is the logistic function of the difference of their scores, which are
+linear in the features, so fitting is a logistic regression without constant on feature
+differences. Each step of it is one pass over the groups, whose sums the driver gets. A score
+is then set against the scores of all labelled documents: the exact quantile at the share of bad
+ones is the threshold, and becomes `THRESHOLD` on the scale of 0 to 1.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..runtime import durable
 from .common import GramHasher, batch, chunks, text_bytes, word_hashes, words
-from .learning import TRAIN_ROWS, labelled_sample, sigmoid
+from .learning import labelled, sigmoid
 
-#: Pairs drawn, pairs held at once, and the value that the threshold gets.
+#: Pairs held at once, and the value that the threshold gets.
 PAIRS = 100_000
-PAIR_BLOCK = 2_000
 THRESHOLD = 0.3
 RIDGE = 1e-3
-SEED = 20240301
+#: Largest change of a weight of standardized features at which the fit ends.
+CLOSE = 1e-6
+
+#: Labelled documents of a group on average, those of each label in it at least (all there are,
+#: if fewer), and groups of a file.
+GROUP, SIDE, FILE_GROUPS = 1_000, 100, 16
+#: Cells that a quantile is looked for in at once, and values that are few enough to sort.
+CELLS, FEW = 4_096, 10_000
 
 #: Numbers that words and word pairs are hashed into.
 BUCKETS = 128
@@ -139,49 +147,188 @@ class Model:
     prior: float = 0.0
 
 
+def pair_sums(win: np.ndarray, lose: np.ndarray, w: np.ndarray, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the loss, summed over every pair of a row of `win` and one of `lose`.
+
+    Sums over pairs are products of matrices with the chances of the wrong order, of which
+    at most about `pairs` are held at once.
+    """
+    slope, curve = np.zeros(len(w)), np.zeros((len(w), len(w)))
+    low = lose @ w
+    at_once = max(1, pairs // max(1, len(lose)))
+    for lo in range(0, len(win), at_once):
+        part = win[lo : lo + at_once]
+        p = sigmoid(low[None] - (part @ w)[:, None])  # chance of the wrong order
+        slope += lose.T @ p.sum(0) - part.T @ p.sum(1)
+        p *= 1 - p
+        cross = part.T @ p @ lose
+        curve += (part * p.sum(1)[:, None]).T @ part + (lose * p.sum(0)[:, None]).T @ lose - cross - cross.T
+    return slope, curve
+
+
+def newton(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, float]], size: int) -> np.ndarray:
+    """Weights by Newton's method; `sums` gives slope and curvature of the loss and the number of pairs."""
+    w = np.zeros(size)
+    for _ in range(60):
+        slope, curve, n = sums(w)
+        step = np.linalg.solve(curve / n + RIDGE * np.eye(size), slope / n + RIDGE * w)
+        w -= step * min(1.0, 3.0 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < CLOSE:
+            break
+    return w
+
+
 def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS) -> Model:
-    """Scores from preferences: every good document over every bad one, by sampled pairs."""
-    win, lose = np.flatnonzero(good), np.flatnonzero(~good)
+    """Scores from preferences, of rows at hand: every good row over every bad one."""
+    win, lose = x[good], x[~good]
     if not len(win) or not len(lose):
         return Model(None, prior=float(len(win) > 0))
-    rng = np.random.default_rng(SEED)
     spread = x.std(0, dtype=float) + 1e-6
-    over, under = rng.choice(win, pairs), rng.choice(lose, pairs)
-    w = np.zeros(x.shape[1])
-    for _ in range(60):
-        slope, curve = RIDGE * w, np.diag(np.full(len(w), RIDGE))
-        for lo in range(0, pairs, PAIR_BLOCK):
-            d = (x[over[lo : lo + PAIR_BLOCK]] - x[under[lo : lo + PAIR_BLOCK]]) / spread
-            p = sigmoid(-(d @ w))  # chance of the wrong order
-            slope -= (d.T @ p) / pairs
-            curve += (d * (p * (1 - p))[:, None]).T @ d / pairs
-        step = np.linalg.solve(curve, slope)
-        w -= step * min(1.0, 3.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-7:
-            break
-    w = w / spread
+    w = newton(lambda w: (*pair_sums(win / spread, lose / spread, w, pairs), len(win) * len(lose)), x.shape[1]) / spread
     scores = x @ w
-    cut = float(np.quantile(scores, len(lose) / len(x)))
-    return Model(w, cut, max(1e-6, float(np.std(scores))))
+    return Model(w, float(np.quantile(scores, len(lose) / len(x))), max(1e-6, float(np.std(scores))))
 
 
-_FEATURES = pa.schema([("label", pa.int32()), ("features", pa.list_(pa.float32()))])
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.float32()))])
+_SUMS = pa.schema([("sums", pa.list_(pa.float64()))])
+_RANKS = pa.schema([("rank", pa.float64())])
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Model:
-    """Weights and threshold from at most `rows` labelled documents; only their features
-    come to the driver."""
-    sample = labelled_sample(docs, labels, "quality", learn, rows)
+def labelled_features(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """doc_id, label and features of every labelled document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(1)):
                 part = b.slice(lo, hi - lo)
-                yield batch(_FEATURES, label=part.column(0), features=list(features(part.column(1)).astype(np.float32)))
+                x = list(features(part.column(1)).astype(np.float32))
+                yield batch(_FEATURES, doc_id=part.column(0), label=part.column(2), features=x)
+
+    return labelled(docs, labels, "quality", learn).mapInArrow(run, "doc_id LONG, label INT, features ARRAY<FLOAT>")
+
+
+def dealt(rows: DataFrame, n1: int, n0: int) -> DataFrame:
+    """The rows in groups (grp, first, label, features), written group by group.
+
+    Every row is in a group, `first` there, and of a rare label in as many as give each
+    group `SIDE` rows of it.
+    """
+    groups = max(1, -(-(n1 + n0) // GROUP))
+    copies = lambda n: min(groups, -(-groups * SIDE // n))
+    shift = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 1, copies(n1)).otherwise(copies(n0)) - 1))
+    placed = rows.withColumn("i", shift).select(
+        F.pmod(F.pmod(F.xxhash64("doc_id"), F.lit(groups)) + F.col("i"), F.lit(groups)).alias("grp"),
+        (F.col("i") == 0).alias("first"),
+        "label",
+        "features",
+    )
+    return durable(placed.repartition(-(-groups // FILE_GROUPS), "grp").sortWithinPartitions("grp"), "dealt")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), len(FEATURES) + BUCKETS)
+
+
+def _total(rows: DataFrame, run: Callable) -> np.ndarray:
+    """Sum of the vectors that the tasks yield."""
+    each = rows.mapInArrow(run, "sums ARRAY<DOUBLE>").select(F.posexplode("sums").alias("pos", "v"))
+    sums = each.groupBy("pos").agg(F.sum("v").alias("v")).collect()
+    return np.array([r.v for r in sorted(sums, key=lambda r: r.pos)])
+
+
+def _spread(rows: DataFrame) -> np.ndarray:
+    """Standard deviations of the features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _matrix(b.column(0))
+            yield batch(_SUMS, sums=[np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])])
+
+    total = _total(rows.where("first").select("features"), run)
+    mean, square = np.split(total[1:] / total[0], 2)
+    return np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-6
+
+
+def _group_sums(groups: DataFrame, spread: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """`pair_sums` over the pairs of each group, and the number of pairs."""
+    size = len(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, curve, n = np.zeros(size), np.zeros((size, size)), 0
+        held, group = [], None
+
+        def close() -> None:
+            nonlocal slope, curve, n
+            if held:
+                good = np.concatenate([g for g, _ in held])
+                x = np.concatenate([x for _, x in held]) / spread
+                more = pair_sums(x[good], x[~good], w)
+                slope, curve, n = slope + more[0], curve + more[1], n + int(good.sum()) * int((~good).sum())
+                held.clear()
+
+        for b in batches:
+            grp, good = b.column(0).to_numpy(), b.column(1).to_numpy() == 1
+            x = _matrix(b.column(2))
+            ends = np.append(np.flatnonzero(np.diff(grp)) + 1, len(grp))
+            lo = 0
+            for hi in ends:
+                if lo < hi:
+                    if grp[lo] != group:
+                        close()
+                        group = grp[lo]
+                    held.append((good[lo:hi], x[lo:hi]))
+                lo = hi
+        close()
+        yield batch(_SUMS, sums=[np.concatenate([slope, curve.ravel(), [n]])])
+
+    total = _total(groups.select("grp", "label", "features"), run)
+    return total[:size], total[size:-1].reshape(size, size), total[-1]
+
+
+def quantile(ranks: DataFrame, column: str, share: float) -> float:
+    """The exact quantile of a written column, between neighbours in proportion, as numpy has it.
+
+    Counts in even cells narrow down the cell that holds it until its values are few or one.
+    """
+    low, high, n = ranks.agg(F.min(column), F.max(column), F.count(column)).head()
+    total, k, before, v = n, int((n - 1) * share), 0, F.col(column)
+    inside = ranks
+    while n > FEW and low < high:
+        cell = F.least(F.floor((v - low) / ((high - low) / CELLS)), F.lit(CELLS - 1))
+        cells = inside.groupBy(cell.alias("c")).agg(F.count("*").alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).collect()
+        for c in sorted(cells, key=lambda c: c.c):
+            if before + c.n > k:
+                break
+            before += c.n
+        low, high, n = c.lo, c.hi, c.n
+        inside = ranks.where((v >= low) & (v <= high))
+    at = [low] * n if low == high else sorted(r[0] for r in inside.select(column).collect())
+    here = at[k - before]
+    if k - before + 1 < n:
+        after = at[k - before + 1]
+    else:
+        after = ranks.agg(F.min(F.when(v > high, v))).head()[0]
+    part = (total - 1) * share - k
+    return here if after is None else here + (after - here) * part
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
+    """Weights and threshold from all labelled documents; only sums come to the driver."""
+    rows = durable(labelled_features(docs, labels, learn), "labelled")
+    n1, n0 = rows.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") != 1)).head()
+    if not n1 or not n0:
+        return Model(None, prior=float(n1 > 0))
+    groups = dealt(rows, n1, n0)
+    spread = _spread(groups)
+    w = newton(lambda w: _group_sums(groups, spread, w), len(spread)) / spread
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(_RANKS, rank=_matrix(b.column(0)) @ w)
 
-    made = sample.select("label", "text").mapInArrow(run, "label INT, features ARRAY<FLOAT>").toPandas()
-    x = np.stack(made["features"]) if len(made) else np.zeros((0, len(FEATURES) + BUCKETS))
-    return fit_pairs(x, (made["label"] == 1).to_numpy())
+    ranks = durable(rows.select("features").mapInArrow(run, "rank DOUBLE"), "ranks")
+    scale = ranks.agg(F.stddev_pop("rank")).head()[0]
+    return Model(w, quantile(ranks, "rank", n0 / (n1 + n0)), max(1e-6, scale))
 
 
 def line(model: Model, texts: pa.Array) -> np.ndarray:

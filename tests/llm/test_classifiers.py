@@ -154,3 +154,36 @@ def test_features_do_not_depend_on_neighbours():
     alone = np.concatenate([quality.features(pa.array([t], pa.string())) for t in [*texts, None]])
     assert np.allclose(together, alone)
     assert together[0][quality.FEATURES.index("again")] > 0 and together[3][quality.FEATURES.index("same_lines")] > 0
+
+
+def test_quality_learns_from_every_label(spark, documents, prose, monkeypatch):
+    """Small groups hold every labelled document, the rarer label several times."""
+    docs = documents([(i, prose(i, 12, 3000) + " x" * (i % 7)) for i in range(150)])
+    labels = frame(spark, [(i, int(i % 15 > 0)) for i in range(150)], "quality")
+    rows = quality.labelled_features(docs, labels, F.lit(True))
+    made = rows.toPandas()
+    x, good = np.stack(made["features"]).astype(float), (made["label"] == 1).to_numpy()
+    whole, plain = quality.fit(docs, labels, F.lit(True)), quality.fit_pairs(x, good)
+    assert np.allclose(whole.weights, plain.weights, rtol=1e-3, atol=1e-3)
+    assert np.isclose(whole.cut, plain.cut, rtol=1e-3) and np.isclose(whole.scale, plain.scale, rtol=1e-3)
+    monkeypatch.setattr(quality, "GROUP", 20)
+    monkeypatch.setattr(quality, "SIDE", 4)
+    groups = quality.dealt(rows, 140, 10)
+    firsts = groups.where("first")
+    assert firsts.count() == 150 and firsts.select("features").exceptAll(rows.select("features")).count() == 0
+    assert {r.copies for r in groups.where("label = 0").groupBy("features").agg(F.count("*").alias("copies")).collect()} == {4}
+    spread, w = quality._spread(groups), np.linspace(-1, 1, x.shape[1])
+    slope, curve, n = quality._group_sums(groups, spread, w)
+    parts = [g for _, g in groups.toPandas().groupby("grp")]
+    want = [quality.pair_sums(*(np.stack(g[g["label"] == k]["features"]).astype(float) / spread for k in (1, 0)), w) for g in parts if g["label"].nunique() == 2]
+    assert np.allclose(slope, sum(s for s, _ in want)) and np.allclose(curve, sum(c for _, c in want)) and n > 0
+
+
+def test_quantiles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FEW", 3)
+    monkeypatch.setattr(quality, "CELLS", 4)
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=200), np.repeat([1.0, 2.0, 5.0], 30), np.array([4.0]), np.r_[rng.normal(size=50), 1e9]):
+        ranks = spark.createDataFrame([(float(v),) for v in values], "rank DOUBLE")
+        for share in (0.0, 0.31, 0.9):
+            assert np.isclose(quality.quantile(ranks, "rank", share), np.quantile(values, share))
