@@ -308,3 +308,20 @@ def test_published_progress_in_batches(spark, tmp_path):
         assert told == {t for t in is_ if is_[t][:2] != was.get(t, (0, 0))[:2]}
     # The second line of a slot that began in the batch before writes nothing.
     assert told == set()
+
+
+def test_conversion_writes_each_line_once(spark, tmp_path, monkeypatch):
+    """The parsed lines are the only copy that a batch makes of its payloads."""
+    from postloom.streaming import jobs
+
+    made, write = {}, jobs.durable
+    monkeypatch.setattr(jobs, "durable", lambda df, name: made.setdefault(name, write(df, name)))
+    kept = []
+    monkeypatch.setattr(jobs, "put", lambda df, path, batch_id: kept.append([r.asDict() for r in made["parsed"].collect()]))
+    src = tmp_path / "in"
+    src.mkdir()
+    put(src, "a.jsonl", [tweet("1"), "not json", page()], 1_700_000_000)
+    convert_stream(line_stream(spark, str(src), "*.jsonl"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    assert list(made) == ["parsed"]
+    assert [(r["value"], r["data"] is None) for r in kept[0] if r["is_bad"]] == [("not json", True)]
+    assert all(r["value"] is None for r in kept[0] if not r["is_bad"])
