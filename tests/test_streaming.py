@@ -24,6 +24,7 @@ from postloom.streaming.jobs import (
     line_stream,
     open_ends,
     progress_stream,
+    read_events,
     run_for,
     with_ends,
 )
@@ -185,6 +186,28 @@ def test_bloom_filters_let_few_others_pass(spark, tmp_path):
     assert {r.id for r in table.hits(id_frame(spark, ["a0", "a223999", "a224000"]), 1).collect()} == {"a0", "a223999"}
 
 
+def test_a_run_has_as_many_parts_as_its_ids_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen_table, "PART_IDS", 100)
+    table, held = SeenTable(spark, str(tmp_path / "seen")), set()
+    for batch, n in enumerate((90, 350, 1)):
+        fresh = {f"{batch}-{i}" for i in range(n)}
+        table.add(id_frame(spark, fresh), batch)
+        held |= fresh
+    assert [len(table._parts((1, b))) for b in range(3)] == [1, 4, 1]  # not one folder per hash value
+    assert {r.id for r in table.hits(id_frame(spark, held | {"x"}), 3).collect()} == held
+
+
+def test_a_batch_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    put(src, "a.jsonl", ["", "no json", '{"errors":[1]}', "{}"] + [event(str(i)) for i in range(20)], 1_700_000_000)
+    batch = spark.read.text(str(src)).select("value", F.lit("a").alias("file"), F.lit(0).alias("start"), F.lit("t").alias("received_at"))
+    rows = read_events(batch, 0).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in rows}) > 1 and len({r.block for r in rows}) == 24
+    told = [r.told for r in sorted(rows, key=lambda r: r.block)]
+    assert told[:4] == ["keepalive", "invalid", "errors", "ignored"] and {r.value for r in rows} == {None, "no json"}
+
+
 LOG_DDL = "task_name STRING, ts TIMESTAMP_NTZ, event_id BIGINT, event STRING, reason STRING"
 
 
