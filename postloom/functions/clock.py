@@ -57,10 +57,14 @@ def local_to_utc(text: Column, zone: Column) -> Column:
     return F.convert_timezone(zone, F.lit("UTC"), local_time(text))
 
 
-def local_time_error(text: Column, zone: Column) -> Column:
-    """Why a non-blank local time has no single UTC value, else null."""
-    local = local_time(text)
-    utc = F.convert_timezone(zone, F.lit("UTC"), local)
+def local_time_error(text: Column, zone: Column, local: Column | None = None, utc: Column | None = None) -> Column:
+    """Why a non-blank local time has no single UTC value, else null.
+
+    Both are asked for many times here, so over many rows they should be columns: `local` with
+    `local_time(text)` and `utc` with `local_to_utc(text, zone)`.
+    """
+    local = local_time(text) if local is None else local
+    utc = F.convert_timezone(zone, F.lit("UTC"), local) if utc is None else utc
 
     def same_local(minutes: int) -> Column:
         moved = F.timestamp_add("MINUTE", F.lit(minutes), utc)

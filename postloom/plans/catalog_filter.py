@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.clock import local_time_error, local_to_utc, utc_text
+from ..functions.clock import local_time, local_time_error, utc_text
 from ..functions.coerce import (
     blank_to_null,
     json_bool,
@@ -261,9 +261,12 @@ def local_times(spark: SparkSession, sf: str) -> DataFrame:
     e = F.col("event_id")
     zone = F.when(e % 3 == 0, "Asia/Tokyo").when(e % 3 == 1, "UTC").otherwise("America/New_York")
     local = F.when(e % 10 == 9, "  ").otherwise(F.date_format("ts", " yyyy-MM-dd'T'HH:mm:ss "))
-    return table(spark, sf, "events").select(
-        "event_id", utc_text(local_to_utc(local, zone)).alias("utc"), local_time_error(local, zone).alias("error")
+    texts = table(spark, sf, "events").select("event_id", local.alias("text"), zone.alias("zone"))
+    times = texts.withColumn("local", local_time(F.col("text"))).withColumn(
+        "utc", F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("local"))
     )
+    error = local_time_error(F.col("text"), F.col("zone"), F.col("local"), F.col("utc"))
+    return times.select("event_id", utc_text(F.col("utc")).alias("utc"), error.alias("error"))
 
 
 @query(

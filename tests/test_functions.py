@@ -5,6 +5,7 @@ from postloom.functions.coerce import json_bool, json_int
 from postloom.functions.responses import classify_responses
 from postloom.functions.texts import error_detail, error_metadata, read_errors, safe_text, stream_payload
 from postloom.operators.filters import keyword_match, query_text
+from postloom.plans.catalog_filter import local_times
 from postloom.operators.rules import reconcile_rules
 from postloom.operators.stats import rules_response
 
@@ -32,6 +33,16 @@ def test_local_times(spark):
     ]
 
 
+def test_a_local_time_is_read_once(spark, tmp_path):
+    spark.range(20).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' AS ts").write.parquet(str(tmp_path / "events.parquet"))
+    rows = local_times(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+    assert {(r.utc, r.error) for r in rows.collect()} == {
+        (None, None), ("2023-12-31T15:00:00Z", None), ("2024-01-01T00:00:00Z", None), ("2024-01-01T05:00:00Z", None),
+    }
+
+
 def test_stream_payload(spark):
     lines = ["", " \r", "data:", "[DONE]", "data: {}", '{"a":1}\r']
     assert column(spark, lines, stream_payload(F.col("v"))) == [None, None, None, None, "{}", '{"a":1}']
