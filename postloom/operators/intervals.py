@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.clock import from_micros, micros
+from ..runtime import durable
 from .dedup import unseen
 from .skew import lookup_join, spread_join
 
@@ -20,8 +21,6 @@ SHIFT = 26
 UNIT = 1 << SHIFT
 ORIGIN = 1 << 33
 LEVELS = 35
-# A piece of less than a unit, which has its own bounds.
-RAGGED = -1
 
 
 def unit_of(ts: Column) -> Column:
@@ -57,7 +56,7 @@ def with_nodes(rows: DataFrame, first: Column, behind: Column) -> DataFrame:
 
 
 def used_levels(pieces: DataFrame) -> list[int]:
-    """The levels that any piece is at; at most `LEVELS` and the ragged one."""
+    """The levels that any piece is at; at most `LEVELS`."""
     return sorted(r.level for r in pieces.select("level").distinct().collect())
 
 
@@ -65,7 +64,7 @@ def at_ancestors(posts: DataFrame, ts: str, levels: list[int]) -> DataFrame:
     """A row per post and level: adds `level` and `node`. Posts without a time have none."""
     unit = unit_of(F.col(ts))
     nodes = [
-        F.struct(F.lit(k).alias("level"), F.shiftright(unit, max(k, 0)).alias("node")) for k in levels
+        F.struct(F.lit(k).alias("level"), F.shiftright(unit, k).alias("node")) for k in levels
     ]
     if not nodes:
         return posts.where(F.lit(False)).withColumns({"level": F.lit(0), "node": F.lit(0).cast("bigint")})
@@ -137,18 +136,26 @@ def gap_backfill(
 ) -> DataFrame:
     """Archive posts inside any gap that were not collected yet.
 
-    The whole units of a gap are tree nodes, each once however many gaps share it. The ends
-    of less than a unit are merged per unit, so a post meets at most one of them. No
-    pairs are built.
+    The whole units of a gap are tree nodes, each once however many gaps share it. Which units
+    they cover is found once per unit that holds a post, not per post. The ends of less than a
+    unit are merged per unit, so a post meets its unit as a whole or at most one of them. No
+    pairs are built, and a post stays one row.
     """
     spans = gaps.select(F.col("start_time_utc").alias("_start"), F.col("end_time_utc").alias("_end")).where("_start < _end")
+    spans = durable(spans.distinct(), "spans")  # read for the nodes and for the ends
     nodes = with_nodes(spans, unit_after(F.col("_start")), unit_of(F.col("_end"))).select("level", "node").distinct()
     ends = merged_intervals(ragged_ends(spans, "_start", "_end"), "_start", "_end", ["node"])
+    timed = archive.where(F.col(ts).isNotNull()).withColumn("_unit", unit_of(F.col(ts)))
     bare = F.lit(None).cast(spans.schema["_start"].dataType)
-    pieces = nodes.select("level", "node", bare.alias("_start"), bare.alias("_end")).unionByName(
-        ends.withColumn("level", F.lit(RAGGED))
-    )
-    placed = at_ancestors(archive, ts, used_levels(pieces))
+    whole = covered_units(timed.select("_unit").distinct(), nodes).select("_unit", bare.alias("_start"), bare.alias("_end"))
+    pieces = durable(whole.unionByName(ends.withColumnRenamed("node", "_unit")), "pieces")
     inside = F.col("_start").isNull() | ((F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end")))
-    hit = spread_join(placed, pieces, ["level", "node"], order, "left_semi", residual=inside)
-    return unseen(hit.drop("level", "node"), seen, order, id_col)
+    hit = spread_join(timed, pieces, ["_unit"], order, "left_semi", residual=inside)
+    return unseen(hit.drop("_unit"), seen, order, id_col)
+
+
+def covered_units(units: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The units (`_unit`) that any tree node covers, each once."""
+    nodes = durable(nodes, "nodes")
+    asked = at_ancestors(units.withColumn("_at", unit_start(F.col("_unit"))), "_at", used_levels(nodes))
+    return spread_join(asked, nodes, ["level", "node"], ["_unit"], "left_semi").select("_unit").distinct()

@@ -68,3 +68,14 @@ def test_backfill_equals_a_nested_loop(spark):
         if t and i not in seen and any(b and a <= t < b for a, b in gaps):
             want.setdefault(i, n)
     assert {r.id: r.n for r in got.collect()} == want and len(want) > 20
+
+
+def test_backfill_asks_for_nodes_per_unit_and_not_per_post(spark, monkeypatch):
+    asked, real = [], intervals.at_ancestors
+    monkeypatch.setattr(intervals, "at_ancestors", lambda rows, *rest: asked.append(rows.count()) or real(rows, *rest))
+    start = 3 * intervals.UNIT
+    archive = frame(spark, [(str(i), i, at(start + i)) for i in range(300)], "id STRING, n INT, ts TIMESTAMP_NTZ")
+    gaps = [(at(0), at(k * intervals.UNIT)) for k in (4, 5, 9, 40)]
+    gaps = frame(spark, gaps, "start_time_utc TIMESTAMP_NTZ, end_time_utc TIMESTAMP_NTZ")
+    got = gap_backfill(archive, gaps, frame(spark, [("7",)], "id STRING"), ["n"])
+    assert got.count() == 299 and asked == [1]
