@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.clock import micros
 from ..operators.order import ORDER, carry, range_splits
 from ..operators.skew import lookup_join
+from ..runtime import durable
 
 
 def cut_log(lines: DataFrame, rotate_bytes: int = 0, rotate_seconds: int = 0, at: str | None = None) -> DataFrame:
@@ -42,7 +43,8 @@ def cut_log(lines: DataFrame, rotate_bytes: int = 0, rotate_seconds: int = 0, at
     if rotate_bytes <= 0:
         return placed.withColumn("piece", F.lit(0).cast("bigint")).drop("_start")
     if timed:
-        opens = placed.groupBy("slot").agg(F.min("_start").alias("_open"))
+        # Written, as its size is checked before it is joined.
+        opens = durable(placed.groupBy("slot").agg(F.min("_start").alias("_open")), "opens")
         placed = lookup_join(placed, opens, ["slot"], list(ORDER), "inner")
     else:
         placed = placed.withColumn("_open", F.lit(0))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.operators import order
+from postloom.sources import rotation
 from postloom.sources.envelope import read_log, write_log
 
 
@@ -57,3 +58,22 @@ def test_files_by_both(spark, tmp_path):
 def test_an_empty_log_writes_no_file(spark, tmp_path):
     assert write_log(log_of(spark, [0]).limit(0), str(tmp_path), "t", "1", rotate_bytes=5) == 0
     assert write_log(log_of(spark, [0]).limit(0), str(tmp_path), "t", "2") == 0
+
+
+def test_starts_of_slots_are_found_once(spark, tmp_path, monkeypatch):
+    plans, real = [], rotation.lookup_join
+
+    def join(rows, lookup, *rest):
+        plans.append(lookup._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows, lookup, *rest)
+
+    monkeypatch.setattr(rotation, "lookup_join", join)
+    write_log(log_of(spark, [0] * 8, list(range(8))), str(tmp_path), "t", "1", rotate_bytes=90, rotate_seconds=3, at="at")
+    assert len(plans) == 1 and "Aggregate" not in plans[0]  # a written table
+
+
+def test_a_scan_has_no_empty_parts(spark, tmp_path):
+    write_log(log_of(spark, [0] * 8), str(tmp_path), "t", "1", rotate_bytes=90)
+    plan = read_log(spark, str(tmp_path), "t").records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "LogicalRDD" not in plan
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 32
