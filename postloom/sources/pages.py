@@ -20,9 +20,9 @@ INCLUDES_AT = 1 << 32
 PAGE_AT = 1 << 62
 
 
-def data_items(payload: Column) -> Column:
-    """Posts of a payload: `data` may be an array or one object."""
-    data = json_field(payload, "data")
+def data_items(data: Column) -> Column:
+    """Posts of a payload's `data`, an array or one object; it is read several times, so it should
+    be a column."""
     one = F.when(data.isNotNull() & ~F.ltrim(data).startswith("["), F.array(data))
     return F.coalesce(one, json_items(data))
 
@@ -32,9 +32,11 @@ def delivered_posts(pages: DataFrame, items: Column | None = None) -> DataFrame:
 
     `pages` has `log`, `block` (page or event number) and `body` (JSON text).
     """
-    found = data_items(F.col("body")) if items is None else items
+    if items is None:
+        pages = pages.withColumn("_data", json_field(F.col("body"), "data"))
+        items = data_items(F.col("_data"))
     return (
-        pages.select("log", "block", F.posexplode(found).alias("pos", "data"))
+        pages.select("log", "block", F.posexplode(items).alias("pos", "data"))
         .withColumn("id", F.coalesce(json_field(F.col("data"), "id"), F.lit("")))
         .where("id <> ''")
         .withColumn("seq", F.col("pos").cast("bigint"))
