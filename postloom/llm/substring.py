@@ -13,11 +13,14 @@ hashing stretches only there (six of 31 places) misses no repeat.
 
 Hot passages: what a task sees twice it settles itself. Of several documents with one hash
 in a task, one item goes by the hash for the others' sake; the rest is known already (step
-1: to repeat; step 2: all but the smallest document to be covered), is packed as runs of
-places and travels by document. So no place gets more than one document per task and hash.
+1: to repeat, which that item says; step 2: all but the smallest document to be covered), is
+packed as runs of places and travels by document. So no place gets more than one document per
+task and hash.
 
-Items travel as packed columns sorted by document, which compress well. Texts are packed
-too and cross the network once: both joins with what was found read the same exchange.
+Items travel as packed columns, by text and place. What is found comes back in about as many
+rows as there are finds, so rows are packed, read and marked together, for all texts of a
+chunk or all items of a place, with no call per row. Texts are packed too and cross the
+network once: both joins with what was found read the same exchange.
 
 Words and windows are compared by 64-bit hashes.
 """
@@ -25,13 +28,15 @@ Words and windows are compared by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import CHUNK_BYTES, GramHasher, batch, chunks, mix, text_bytes, word_hashes, words
+from .common import CHUNK_BYTES, _SPACE, GramHasher, chunks, mix, text_bytes, word_hashes, words
 
 WINDOW = 50
 PERIOD = 31
@@ -48,17 +53,23 @@ TASK_PLACES = 16
 
 _ITEM = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("at", "<i4")])
 _RUN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<i4"), ("end", "<i4")])
+_PAIR = np.dtype([("at", "<i4"), ("end", "<i4")])
 
 
 class Texts:
     """Words of a chunk of texts, with the hashes of their stretches."""
 
     def __init__(self, texts: pa.Array):
-        self.data, bounds = text_bytes(texts)
-        self.raw = self.data.tobytes()
-        self.starts, self.ends, self.first = words(self.data, bounds)
+        self.data, self.bounds = text_bytes(texts)
+        self.starts, self.ends, self.first = words(self.data, self.bounds)
         self.count = np.diff(self.first)
-        self.grams = GramHasher(word_hashes(self.data, self.starts, self.ends))
+
+    @cached_property
+    def grams(self) -> GramHasher:
+        return GramHasher(word_hashes(self.data, self.starts, self.ends))
+
+    def text_of(self, words: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, words, "right") - 1
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, place and hash of every stretch at a place of the cover."""
@@ -69,33 +80,87 @@ class Texts:
         keep = np.flatnonzero(cover[at % PERIOD] & (at + ANCHOR <= self.count[text]) & (self.count[text] >= WINDOW))
         return text[keep], at[keep], self.grams.at(keep, ANCHOR)
 
-    def windows(self, text: int, near: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Place and hash of the windows of one text that hold an anchor at a place in `near`."""
-        n = int(self.count[text])
-        anchor = _marked(near, n, 0)
-        total = np.concatenate([[0], np.cumsum(anchor)])
-        at = np.arange(n - WINDOW + 1)
-        at = at[total[at + PERIOD] > total[at]]
-        return at, self.grams.at(self.first[text] + at, WINDOW)
+    def marked(self, found: pa.Array, more: int) -> np.ndarray:
+        """Which words lie in the runs found for their texts, each run lengthened by `more`."""
+        pairs, text = _pairs(found)
+        n, end = len(self.starts), self.first[text + 1]
+        mark = np.bincount(np.minimum(self.first[text] + pairs["at"], end), minlength=n + 1)
+        mark -= np.bincount(np.minimum(self.first[text] + pairs["end"] + more, end), minlength=n + 1)
+        return np.cumsum(mark)[:n] > 0
+
+    def windows(self, near: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place and hash of the windows that hold an anchor at a place in `near`."""
+        total = np.concatenate([[0], np.cumsum(self.marked(near, 0))])
+        at = np.flatnonzero(total[PERIOD:] > total[:-PERIOD])
+        text = self.text_of(at)
+        inside = at + WINDOW <= self.first[text + 1]
+        at, text = at[inside], text[inside]
+        return text, at - self.first[text], self.grams.at(at, WINDOW)
+
+    def left(self, away: np.ndarray, whole: np.ndarray) -> pa.Array:
+        """Of each text the words that are not `away`, joined by one blank, or the text itself if `whole`."""
+        at = np.flatnonzero(~away)
+        # The byte behind a word goes with it as the blank, but for the last word of a text.
+        to = self.ends[at] + 1
+        to[np.append(np.diff(self.text_of(at)), 1)[: len(at)] > 0] -= 1
+        step = np.zeros(len(self.data) + 1, np.int8)
+        step[self.starts[at]] += 1
+        step[to] -= 1
+        as_is = np.repeat(whole, np.diff(self.bounds))
+        keep = (np.cumsum(step[:-1], dtype=np.int8) > 0) | as_is
+        data = np.where(_SPACE[self.data] & ~as_is, np.uint8(0x20), self.data)[keep]
+        bounds = np.concatenate([[0], np.cumsum(keep)])[self.bounds]
+        return pa.Array.from_buffers(pa.large_string(), len(whole), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def _pairs(found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of lists of packed runs (a list per text, or null), and each one's text."""
+    raw = found.flatten()
+    lists = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))])
+    data, at = text_bytes(raw)
+    return data.view(_PAIR), np.repeat(np.arange(len(found)), np.diff(at[lists]) // _PAIR.itemsize)
+
+
+Rows = dict[str, np.ndarray]
+
+
+def _cells(kind: np.dtype, counts: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """For each column the cells of four bytes that its values take, where groups of `counts`
+    rows lie one after another, and in each group column after column."""
+    start = np.repeat(np.cumsum(counts) - counts, counts)
+    within, size = np.arange(len(start)) - start, np.repeat(counts, counts)
+    before = 0
+    for c in kind.names:
+        width = kind[c].itemsize // 4
+        yield c, (start * (kind.itemsize // 4) + size * before + within * width)[:, None] + np.arange(width)
+        before += width
 
 
-def pack(rows: np.ndarray) -> bytes:
-    """Column after column."""
-    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in rows.dtype.names)
+def pack(rows: Rows, kind: np.dtype, counts: np.ndarray) -> pa.Array:
+    """Groups of `counts` rows, one packed value each."""
+    out = np.empty(int(counts.sum()) * kind.itemsize // 4, np.uint32)
+    for c, cells in _cells(kind, counts):
+        out[cells] = rows[c].view(np.uint32).reshape(cells.shape)
+    bounds = np.concatenate([[0], np.cumsum(counts)]) * kind.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
 
 
-def unpack(raw: bytes, kind: np.dtype) -> np.ndarray:
-    n = len(raw) // kind.itemsize
-    rows, at = np.empty(n, kind), 0
-    for c in kind.names:
-        width = kind[c].itemsize * n
-        rows[c] = np.frombuffer(raw[at : at + width], kind[c])
-        at += width
-    return rows
+def unpack(raw: list[bytes], kind: np.dtype) -> Rows:
+    counts = np.array([len(r) for r in raw], np.int64) // kind.itemsize
+    data = np.frombuffer(b"".join(raw), np.uint32)
+    return {c: data[cells].reshape(-1).view(kind[c]) for c, cells in _cells(kind, counts)}
+
+
+def take(rows: Rows, at: np.ndarray) -> Rows:
+    return {c: v[at] for c, v in rows.items()}
+
+
+def stack(tables: list[Rows]) -> Rows:
+    return {c: np.concatenate([t[c] for t in tables]) for c in tables[0]}
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
-    """Where a new combination of values starts in sorted columns."""
+    """Where a new combination of values starts in columns."""
     if not len(columns[0]):
         return np.zeros(0, np.int64)
     new = np.zeros(len(columns[0]), bool)
@@ -105,44 +170,47 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def runs(items: np.ndarray) -> np.ndarray:
-    """Runs of neighbouring places in items sorted by document, key and place."""
-    step = items["at"] - np.arange(len(items))
-    starts = _starts(items["doc"], items["key"], step)
-    out = np.empty(len(starts), _RUN)
-    for c in ("doc", "key", "at"):
-        out[c] = items[c][starts]
-    out["end"] = items["at"][np.append(starts[1:], len(items)) - 1] + 1 if len(items) else 0
-    return out
-
+def runs(items: Rows) -> Rows:
+    """Runs of neighbouring places in items that lie by text and place."""
+    n = len(items["at"])
+    starts = _starts(items["doc"], items["key"], items["at"] - np.arange(n))
+    last = np.append(starts[1:], n)[: len(starts)] - 1
+    return {**{c: items[c][starts] for c in ("doc", "key", "at")}, "end": items["at"][last] + np.int32(1)}
 
-def by_document(items: np.ndarray) -> np.ndarray:
-    return items[np.lexsort((items["at"], items["key"], items["doc"]))]
 
+def _by_hash(items: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the items by hash, where each hash starts there, and how many items it has."""
+    order = np.argsort(items["hash"])
+    starts = _starts(items["hash"][order])
+    return order, starts, np.diff(np.append(starts, len(order)))
 
-def by_hash(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Items by hash and document, where each hash starts, and the number of each item's hash."""
-    items = items[np.lexsort((items["doc"], items["hash"]))]
-    starts = _starts(items["hash"])
-    return items, starts, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(items))))
 
+def shared(items: Rows) -> tuple[np.ndarray, Rows]:
+    """Whether two documents have an item's hash, and one item for each such hash, at -1.
 
-def shared(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Items by hash; whether two documents have the hash; one item for each such hash."""
-    items, starts, number = by_hash(items)
-    last = np.append(starts[1:], len(items)) - 1
-    two = items["doc"][starts] != items["doc"][last]
-    return items, two[number], starts[two]
-
-
-def covered_items(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Items by hash; whether a smaller document has the hash."""
-    items, starts, number = by_hash(items)
-    return items, items["doc"] > items["doc"][starts][number]
+    An item at -1 says of its hash that two documents have it.
+    """
+    order, starts, count = _by_hash(items)
+    doc, at = items["doc"][order], items["at"][order]
+    two = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+    two |= np.minimum.reduceat(at, starts) < 0
+    hit = np.empty(len(order), bool)
+    hit[order] = np.repeat(two, count) & (at >= 0)
+    one = {c: items[c][order[starts[two]]] for c in items}
+    one["at"] = np.full(len(one["at"]), -1, np.int32)
+    return hit, one
+
+
+def covered(items: Rows) -> np.ndarray:
+    """Whether a smaller document has an item's hash."""
+    order, starts, count = _by_hash(items)
+    doc = items["doc"][order]
+    hit = np.empty(len(order), bool)
+    hit[order] = doc > np.repeat(np.minimum.reduceat(doc, starts), count)
+    return hit
 
 
 _PACKED = "place INT, open BINARY, known BINARY"
-_PACKED_SCHEMA = pa.schema([("place", pa.int32()), ("open", pa.binary()), ("known", pa.binary())])
 
 
 class _Sender:
@@ -150,65 +218,62 @@ class _Sender:
 
     def __init__(self, places: int, kind: str):
         self.places, self.kind = places, kind
-        self.parts: list[np.ndarray] = []
+        self.parts: list[Rows] = []
         self.held = 0
 
     def add(self, hashes: np.ndarray, docs: np.ndarray, keys: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
-        items = np.empty(len(hashes), _ITEM)
-        items["hash"], items["doc"], items["key"], items["at"] = hashes, docs, keys, at
-        self.parts.append(items)
-        self.held += len(items)
+        self.parts.append({c: v.astype(_ITEM[c], copy=False) for c, v in zip(_ITEM.names, (hashes, docs, keys, at))})
+        self.held += len(hashes)
         if self.held >= BUFFER:
             yield from self.send()
 
     def send(self) -> Iterator[pa.RecordBatch]:
         if not self.held:
             return
-        items = np.concatenate(self.parts)
+        items = stack(self.parts)
         self.parts, self.held = [], 0
         if self.kind == "anchors":
-            items, known, one = shared(items)
-            opened = np.concatenate([items[~known], items[one]])
+            known, one = shared(items)
+            opened = stack([take(items, ~known), one])
         else:
-            items, known = covered_items(items)
-            opened = items[~known]
-        opened, settled = by_document(opened), runs(by_document(items[known]))
-        place = {}
-        for k, rows, by in ((0, opened, opened["hash"]), (1, settled, mix(settled["doc"].astype(np.uint64)))):
-            to = (by % np.uint64(self.places)).astype(np.int32)
-            order = np.argsort(to, kind="stable")
-            to, rows = to[order], rows[order]
-            starts = _starts(to)
-            for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(to)).tolist()):
-                place.setdefault(int(to[lo]), [b"", b""])[k] = pack(rows[lo:hi])
-        rows = [(p, o, k) for p, (o, k) in place.items()]
-        for lo in range(0, len(rows), 64):
-            yield batch(_PACKED_SCHEMA, **dict(zip(_PACKED_SCHEMA.names, map(list, zip(*rows[lo : lo + 64])))))
+            known = covered(items)
+            opened = take(items, ~known)
+        settled = runs(take(items, known))
+        dealt = []
+        for rows, kind, by in ((opened, _ITEM, opened["hash"]), (settled, _RUN, mix(settled["doc"].astype(np.uint64)))):
+            to = (by % np.uint64(self.places)).astype(np.int64)
+            dealt.append((take(rows, np.argsort(to, kind="stable")), kind, np.bincount(to, minlength=self.places)))
+        place = np.flatnonzero(dealt[0][2] + dealt[1][2])
+        o, k = (pack(rows, kind, count[place]) for rows, kind, count in dealt)
+        for lo, hi in chunks(o):
+            columns = [pa.array(place[lo:hi], pa.int32()), o.slice(lo, hi - lo), k.slice(lo, hi - lo)]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "open", "known"])
 
 
 _SPOTS = "key LONG, runs BINARY"
 
 
 def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
-    """Runs of places (packed starts, then ends) of each document's items that repeat
+    """Runs of places (packed pairs of start and end) of each document's items that repeat
     (anchors) or are covered (windows), a row per place that the items were dealt to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, opened, known = None, [], []
 
         def done() -> Iterator[pa.RecordBatch]:
-            items = np.concatenate([unpack(o, _ITEM) for o in opened])
-            items, hit = shared(items)[:2] if kind == "anchors" else covered_items(items)
-            found = np.concatenate([runs(by_document(items[hit])), *(unpack(k, _RUN) for k in known)])
-            found = found[np.lexsort((found["key"], found["doc"]))]
-            starts = _starts(found["doc"], found["key"])
-            ends = np.append(starts[1:], len(found))
-            raw = [pack(found[["at", "end"]][a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-            for lo in range(0, len(raw), 20_000):
-                at = starts[lo : lo + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found["key"][at]), pa.array(raw[lo : lo + 20_000], pa.binary())], ["key", "runs"]
-                )
+            items = unpack(opened, _ITEM)
+            hit = shared(items)[0] if kind == "anchors" else covered(items)
+            found = stack([runs(take(items, hit)), unpack(known, _RUN)])
+            found = take(found, np.argsort(found["key"], kind="stable"))
+            starts = _starts(found["key"])
+            ends = np.append(starts[1:], len(found["key"]))
+            pairs = np.stack([found["at"], found["end"]], axis=1)
+            for lo in range(0, len(starts), 20_000):
+                at, to = starts[lo : lo + 20_000], ends[lo : lo + 20_000]
+                bounds = (np.append(at, to[-1]) - at[0]).astype(np.int32) * np.int32(_PAIR.itemsize)
+                buffers = [None, pa.py_buffer(bounds), pa.py_buffer(pairs[at[0] : to[-1]])]
+                packed_runs = pa.Array.from_buffers(pa.binary(), len(at), buffers)
+                yield pa.RecordBatch.from_arrays([pa.array(found["key"][at]), packed_runs], ["key", "runs"])
 
         for b in batches:
             for p, o, k in zip(*(c.to_pylist() for c in b.columns)):
@@ -225,19 +290,6 @@ def _settle(packed: DataFrame, kind: str, places: int) -> DataFrame:
     return dealt.mapInArrow(run, _SPOTS).groupBy("key").agg(F.collect_list("runs").alias("runs"))
 
 
-_PAIR = np.dtype([("at", "<i4"), ("end", "<i4")])
-
-
-def _marked(packed: list[bytes] | None, n: int, more: int) -> np.ndarray:
-    """Which of n places lie in the runs, each run lengthened by `more`."""
-    mark = np.zeros(n + 1, np.int32)
-    for raw in packed or []:
-        pairs = unpack(raw, _PAIR)
-        np.add.at(mark, pairs["at"], 1)
-        np.add.at(mark, np.minimum(pairs["end"] + more, n), -1)
-    return np.cumsum(mark)[:n] > 0
-
-
 def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
     """doc_id, key (of id and text), packed (the text, compressed) and rest (other columns).
 
@@ -249,7 +301,7 @@ def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
         for b in batches:
             for lo, hi in chunks(b.column(2)):
                 part = b.slice(lo, hi - lo)
-                raw = [None if t is None else squeeze(t.encode()) for t in part.column(2).to_pylist()]
+                raw = [None if t is None else squeeze(t) for t in part.column(2).cast(pa.binary()).to_pylist()]
                 columns = [part.column(0), part.column(1), pa.array(raw, pa.binary()), part.column(3)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "packed", "rest"])
 
@@ -267,7 +319,7 @@ def _unpacked(packed: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
     """Row ranges and their texts."""
     expand = zstandard.ZstdDecompressor().decompress
     for lo, hi in chunks(packed, CHUNK_BYTES // 3):
-        yield lo, hi, pa.array([None if p is None else expand(p).decode() for p in packed.slice(lo, hi - lo).to_pylist()], pa.string())
+        yield lo, hi, pa.array([None if p is None else expand(p) for p in packed.slice(lo, hi - lo).to_pylist()], pa.binary())
 
 
 def dedup(docs: DataFrame, rest: list[str] | None = None, verbatim: bool = False) -> DataFrame:
@@ -303,10 +355,8 @@ def dedup(docs: DataFrame, rest: list[str] | None = None, verbatim: bool = False
         for b in batches:
             ids, keys, near = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(3)
             for lo, hi, part in _unpacked(b.column(2)):
-                t = Texts(part)
-                for k in range(hi - lo):
-                    at, hashes = t.windows(k, near[lo + k].as_py())
-                    yield from out.add(hashes, np.full(len(at), ids[lo + k]), np.full(len(at), keys[lo + k]), at)
+                text, at, hashes = Texts(part).windows(near.slice(lo, hi - lo))
+                yield from out.add(hashes, ids[lo:hi][text], keys[lo:hi][text], at)
         yield from out.send()
 
     join = lambda found, how: texts.join(found, "key", how).select("doc_id", "key", "packed", "runs", "rest")
@@ -316,20 +366,16 @@ def dedup(docs: DataFrame, rest: list[str] | None = None, verbatim: bool = False
         for b in batches:
             for lo, hi, part in _unpacked(b.column(2)):
                 t = Texts(part)
-                n_words, removed, kept = t.count, [], []
-                for k in range(hi - lo):
-                    away = _marked(b.column(3)[lo + k].as_py(), int(n_words[k]), WINDOW - 1)
-                    removed.append(int(away.sum()))
-                    if verbatim and not removed[-1]:
-                        kept.append(part[k].as_py())
-                        continue
-                    of = t.first[k] + np.flatnonzero(~away)
-                    kept.append(b" ".join([t.raw[x:y] for x, y in zip(t.starts[of].tolist(), t.ends[of].tolist())]).decode())
+                away = t.marked(b.column(3).slice(lo, hi - lo), WINDOW - 1)
+                removed = np.diff(np.concatenate([[0], np.cumsum(away)])[t.first])
+                kept = t.left(away, (removed == 0) & verbatim)
+                if verbatim and part.null_count:
+                    kept = pc.if_else(part.is_null(), pa.scalar(None, kept.type), kept)
                 columns = [
                     b.column(0).slice(lo, hi - lo),
-                    pa.array(n_words, pa.int64()),
+                    pa.array(t.count, pa.int64()),
                     pa.array(removed, pa.int64()),
-                    pa.array(kept, pa.large_string()),
+                    kept,
                     b.column(4).slice(lo, hi - lo),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept", "rest"])
