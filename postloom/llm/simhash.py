@@ -162,7 +162,9 @@ def _cells(rows: DataFrame) -> DataFrame:
     count = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.max("home").alias("some"))
     met = count.where("n > 1 AND some").select("anchor", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = rows.join(met, "anchor").withColumn("blk", mine)
+    # Both sides are made by an explode, whose rows Spark does not count: from a small file of fingerprints it
+    # would send them all through the driver.
+    dealt = rows.hint("merge").join(met, "anchor").withColumn("blk", mine)
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("anchor", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "home", "fp")
     return dealt.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", "fp")

@@ -106,3 +106,10 @@ def test_anchors_cover(spark):
             assert len({a for a, _ in mine}) == len(mine) and max(apart) <= 2
             assert sum(h for _, h in mine) == 1 and all(d <= 1 for d, (_, h) in zip(apart, mine) if h)
             assert len(mine) in (2, 17)
+
+
+def test_anchors_are_never_broadcast(spark, tmp_path):
+    # 33 rows come of each fingerprint, which Spark's estimate from the small file leaves out.
+    spark.sql("SELECT xxhash64(id) AS fp FROM range(1000)").write.parquet(str(tmp_path / "nodes"))
+    plan = simhash.links(spark.read.parquet(str(tmp_path / "nodes")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
